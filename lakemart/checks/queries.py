@@ -284,7 +284,7 @@ def csv_partition_roundtrip(spark, sf_dir):
     """Orders through a day-partitioned CSV feed and the cleaner."""
     feed = scratch_dir(spark) + "/orders"
     _publish(td.raw_orders(spark, sf_dir), feed, "order_timestamp")
-    raw = readers.read_csv_feed(spark, feed, schemas.as_text(schemas.ORDERS))
+    raw = readers.read_csv_feed(spark, feed, schemas.ORDERS)
     return clean.clean_orders(raw, td.RUN_TS, on_bad_value="fail")
 
 
@@ -306,13 +306,8 @@ def clean_inventory(spark, sf_dir):
     feed = scratch_dir(spark) + "/inventory"
     lines = td.table(spark, sf_dir, "lineitem")
     _publish(td.raw_movements(spark, sf_dir, lines), feed, "event_timestamp")
-    schema = schemas.as_text(schemas.INVENTORY)
-    files = (
-        spark.read.schema(schema)
-        .options(header="true", enforceSchema="false", recursiveFileLookup="true")
-        .csv(feed)
-    )
-    return clean.clean_inventory(readers.with_path_day(files), td.RUN_TS)
+    raw = readers.read_csv_feed(spark, feed, schemas.INVENTORY, days_from_path=True)
+    return clean.clean_inventory(raw, td.RUN_TS)
 
 
 @query
@@ -330,11 +325,10 @@ def dynamic_overwrite(spark, sf_dir):
     root = scratch_dir(spark)
     feed, silver = root + "/orders", root + "/silver"
     _publish(td.raw_orders(spark, sf_dir), feed, "order_timestamp")
-    schema = schemas.as_text(schemas.ORDERS)
     days = readers.DAY_COLUMNS
-    every_day = clean.clean_orders(readers.read_csv_feed(spark, feed, schema), td.RUN_TS)
+    every_day = clean.clean_orders(readers.read_csv_feed(spark, feed, schemas.ORDERS), td.RUN_TS)
     writers.write_table(every_day, silver, "dynamic", days, rebalance=True)
-    one_day = readers.read_csv_day(spark, feed, dt.date(1998, 3, 1), schema)
+    one_day = readers.read_csv_day(spark, feed, dt.date(1998, 3, 1), schemas.ORDERS)
     writers.write_table(clean.clean_orders(one_day, td.RUN_TS), silver, "dynamic", days)
     return readers.read_table(spark, silver)
 

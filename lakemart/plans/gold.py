@@ -20,6 +20,7 @@ from lakemart.functions.guards import (
     sum_when,
 )
 from lakemart.operators.derive import enrich_orders
+from lakemart.session import settle
 
 NEW_PRODUCT_DAYS = 90
 
@@ -196,18 +197,8 @@ _PRODUCT_FILLS = (
 )
 
 
-def gold_product_performance(
-    products: DataFrame,
-    orders: DataFrame,
-    movements: DataFrame,
-    as_of: AsOf = None,
-    run_ts: RunTs = None,
-) -> DataFrame:
-    """Every product with its sales, stock flow, profit and classification.
-
-    Metrics of a product without sales or movements are 0 and count in the
-    mean revenue; its sale dates stay NULL.
-    """
+def _product_totals(products: DataFrame, orders: DataFrame, movements: DataFrame) -> DataFrame:
+    """Every product with its sales and stock totals, zero-filled."""
     sales = orders.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("quantity").alias("units_sold"),
@@ -218,35 +209,51 @@ def gold_product_performance(
         F.max("order_timestamp").alias("last_sale_date"),
     )
     stock = movements.groupBy("product_id").agg(*_movement_totals())
-    filled = (
+    return (
         products.join(sales, "product_id", "left")
         .join(stock, "product_id", "left")
         .fillna(dict.fromkeys(_PRODUCT_FILLS, 0))
     )
-    # A one-row subquery. It needs only the revenue column, so its scan reads
-    # two columns of the orders and shuffles one sum per product and task.
-    mean_revenue = (
-        filled.agg(mean_of(F.sum("total_revenue"), F.count("total_revenue")).alias("mean"))
-    ).scalar()
-    revenue = F.col("total_revenue").cast("double")
+
+
+def gold_product_performance(
+    products: DataFrame,
+    orders: DataFrame,
+    movements: DataFrame,
+    as_of: AsOf = None,
+    run_ts: RunTs = None,
+    settle_totals: bool = False,
+) -> DataFrame:
+    """Every product with its sales, stock flow, profit and classification.
+
+    Metrics of a product without sales or movements are 0 and count in the
+    mean revenue; its sale dates stay NULL.
+
+    The mean is a one-row subquery. It needs only revenue, so by default it
+    scans two columns of the orders once more and shuffles one sum per product
+    and task. With ``settle_totals`` the product totals (one row per product)
+    are computed now into the checkpoint folder and the mean is read off them,
+    so orders are scanned once.
+    """
+    totals = _product_totals(products, orders, movements)
+    if settle_totals:
+        totals = settle(totals)
+    mean_revenue = totals.agg(mean_of(F.sum("total_revenue"), F.count("total_revenue"))).scalar()
+    revenue, cost = F.col("total_revenue"), F.col("estimated_cost")
     out = (
-        filled.withColumns(
+        totals.withColumns(
             {
-                "total_revenue": revenue,
+                "total_revenue": revenue.cast("double"),
                 "days_since_last_sale": F.datediff(as_of_date(as_of), F.col("last_sale_date")),
                 "estimated_cost": F.col("units_sold") * F.col("cost_price").cast("double"),
                 "average_product_revenue": mean_revenue,
             }
         )
-        .withColumn("gross_profit", F.col("total_revenue") - F.col("estimated_cost"))
+        .withColumn("gross_profit", revenue - cost)
         .withColumns(
             {
-                "gross_margin_percent": ratio_or_zero(
-                    F.col("gross_profit"), F.col("total_revenue"), 100
-                ),
-                "product_status": bands.product_status(
-                    F.col("total_revenue"), F.col("average_product_revenue")
-                ),
+                "gross_margin_percent": ratio_or_zero(F.col("gross_profit"), revenue, 100),
+                "product_status": bands.product_status(revenue, F.col("average_product_revenue")),
                 "inventory_risk": bands.inventory_risk(F.col("net_inventory_change")),
                 "sales_vs_popularity": bands.sales_vs_popularity(
                     F.col("units_sold"), F.col("popularity_score")

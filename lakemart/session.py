@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the size-dependent work: it turns a join into a
 # broadcast only when the measured side is under the threshold, splits skewed
@@ -58,3 +58,15 @@ def scratch_dir(spark: SparkSession) -> str:
     if shared:
         return f"{shared.rstrip('/')}/lakemart-{uuid.uuid4().hex}"
     return tempfile.mkdtemp(prefix="lakemart-")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and continue from there.
+
+    Survives the loss of executors, unlike cached blocks. The session's own
+    checkpoint folder is used; one is chosen only where none is set.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark))
+    return df.checkpoint()

@@ -13,36 +13,37 @@ from lakemart import schemas
 DAY_COLUMNS = ("year", "month", "day")
 
 
-def _text_columns(spark: SparkSession, path: str | list[str], **options: str) -> list[str]:
-    """Column names of a CSV feed in file order, without its partition columns."""
-    header = spark.read.options(header="true", recursiveFileLookup="true", **options)
-    return header.csv(path).columns
-
-
 def read_csv_feed(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
     base_path: str | None = None,
+    days_from_path: bool = False,
 ) -> DataFrame:
-    """All-text CSV feed under ``path``; partition folders come back as int columns.
+    """All-text CSV feed under ``path``, with its landing day as int columns.
+
+    Columns are taken by header name, never by position: with ``schema`` the
+    feed must hold all of its columns, and only those are kept. Names come from
+    one header; every other file's header is checked against it during the
+    scan, so a file laid out differently stops the job instead of filling the
+    wrong columns.
 
-    Columns are taken by header name, never by position. Every file's own
-    header is checked during the scan, so a file laid out differently from the
-    first stops the job instead of filling the wrong columns. With ``schema``
-    the feed must hold all of its columns, and only those are kept.
+    The day comes from the partition folders. Set ``days_from_path`` for feeds
+    whose folders cannot be discovered as partitions (uneven depth, extra
+    levels): then it is read off each file's path.
     """
-    names = _text_columns(spark, path)
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    reader = spark.read.schema(text).options(header="true", enforceSchema="false")
+    reader = spark.read.options(header="true", enforceSchema="false")
     if base_path:
         reader = reader.option("basePath", base_path)
-    df = reader.csv(path)
+    if days_from_path:
+        df = with_path_day(reader.option("recursiveFileLookup", "true").csv(path))
+    else:
+        df = reader.csv(path)
     if schema is None:
         return df
     schemas.require(df, schema.names, f"feed {path}")
-    partitions = [c for c in DAY_COLUMNS if c in df.columns and c not in schema.names]
-    return df.select(*schema.names, *partitions)
+    landing = [c for c in DAY_COLUMNS if c in df.columns and c not in schema.names]
+    return df.select(*schema.names, *landing)
 
 
 def read_json_feed(

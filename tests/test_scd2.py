@@ -1,0 +1,124 @@
+import tempfile
+
+import pytest
+
+from lakemart import schemas
+from lakemart.operators import scd2
+from lakemart.operators.clean import clean_product_changes
+from tests.helpers import plan_of, rows_by, texts, ts
+
+
+def batch(spark, *events, run="2024-06-01 00:00:00"):
+    rows = [
+        (p, "n", "c", "s", "b", price, "1", "7", "2023-01-31", "true", op, at)
+        for p, op, at, price in events
+    ]
+    return clean_product_changes(texts(spark, schemas.PRODUCT_CHANGES.names, rows), run)
+
+
+@pytest.fixture
+def loaded(spark):
+    first = batch(
+        spark,
+        *[(p, "I", "2024-01-01 00:00:00", "1") for p in ("kept", "upd", "del", "again")],
+        run="2024-01-01 12:00:00",
+    )
+    return scd2.apply_scd2(scd2.empty_history(spark), first)
+
+
+@pytest.fixture
+def second(spark):
+    at = "2024-02-01 00:00:00"
+    return batch(
+        spark,
+        ("upd", "u", at, "2"),
+        ("del", "D", at, "2"),
+        ("again", "I", at, "2"),
+        ("new", "I", at, "2"),
+        ("stranger", "U", at, "2"),
+        ("ghost", "D", at, "2"),
+        ("odd", "X", at, "2"),
+    )
+
+
+def test_operations(loaded, second):
+    after = scd2.apply_scd2(loaded, second)
+    assert after.schema.names == schemas.PRODUCT_HISTORY.names
+    got = rows_by(after, "product_id", "price")
+    assert set(got) == {
+        ("kept", 1), ("upd", 1), ("upd", 2), ("del", 1), ("again", 1), ("again", 2),
+        ("new", 2), ("stranger", 2),
+    }
+    current = {k for k, r in got.items() if r.is_current}
+    assert current == {
+        ("kept", 1), ("upd", 2), ("again", 1), ("again", 2), ("new", 2), ("stranger", 2)
+    }
+    closed = got[("upd", 1)]
+    assert closed.effective_to == ts("2024-02-01") and closed.effective_from == ts("2024-01-01")
+    assert closed.processed_timestamp == ts("2024-01-01 12:00:00"), "closing does not restamp"
+    assert got[("del", 1)].effective_to == ts("2024-02-01")
+    assert got[("upd", 2)].effective_to is None
+    two = rows_by(scd2.check_one_current(after), "product_id")
+    assert set(two) == {"again"} and two["again"].current_versions == 2
+    assert scd2.current_version(after).count() == 6
+
+
+def test_expire_on_insert(loaded, second):
+    after = scd2.apply_scd2(loaded, second, expire_on_insert=True)
+    assert scd2.check_one_current(after).count() == 0
+    assert scd2.check_overlaps(after).count() == 0
+    got = rows_by(after, "product_id", "price")
+    assert not got[("again", 1)].is_current and got[("again", 2)].is_current
+
+
+def test_overlap_is_reported(loaded, second):
+    overlaps = scd2.check_overlaps(scd2.apply_scd2(loaded, second)).collect()
+    assert [r.product_id for r in overlaps] == ["again"]
+
+
+def test_published_batches(spark, second):
+    root = tempfile.mkdtemp(prefix="run-") + "/products"
+    assert scd2.read_history(spark, root).count() == 0
+    first = batch(spark, ("upd", "I", "2024-01-01 00:00:00", "1"), ("del", "I", "2024-01-01 00:00:00", "1"))
+    assert scd2.publish_batch(spark, root, "0001", first)
+    assert scd2.publish_batch(spark, root, "0002", second)
+    once = sorted(map(str, scd2.read_history(spark, root).collect()))
+    assert not scd2.publish_batch(spark, root, "0002", second), "sent again, nothing to do"
+    assert sorted(map(str, scd2.read_history(spark, root).collect())) == once
+    assert scd2.read_history(spark, root, upto="0001").count() == 2
+    third = batch(spark, ("upd", "U", "2024-03-01 00:00:00", "3"))
+    assert scd2.publish_batch(spark, root, "0003", third)
+    got = rows_by(scd2.read_history(spark, root).where("product_id = 'upd'"), "price")
+    assert [got[p].is_current for p in (1.0, 2.0, 3.0)] == [False, False, True]
+    with pytest.raises(ValueError, match="sorts before"):
+        scd2.publish_batch(spark, root, "0000", third)
+
+
+def test_half_written_batch_is_invisible_and_repeatable(spark, second):
+    import pathlib
+
+    root = tempfile.mkdtemp(prefix="run-") + "/products"
+    first = batch(spark, ("upd", "I", "2024-01-01 00:00:00", "1"))
+    scd2.publish_batch(spark, root, "0001", first)
+    # What a run that died before its commit leaves: rows without a marker.
+    scd2.advance(scd2.read_history(spark, root), second).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).partitionBy("is_current").parquet(f"{root}/batch=0002")
+    assert not (pathlib.Path(root) / "batch=0002" / "_SUCCESS").exists()
+    assert scd2.published_batches(spark, root) == ["0001"]
+    assert scd2.read_history(spark, root).count() == 1
+    assert scd2.publish_batch(spark, root, "0002", second)
+    got = rows_by(scd2.read_history(spark, root).where("product_id = 'upd'"), "price")
+    assert not got[1.0].is_current and got[2.0].is_current
+
+
+def test_current_slice_is_pruned(spark, second):
+    root = tempfile.mkdtemp(prefix="run-") + "/products"
+    scd2.publish_batch(spark, root, "0001", batch(spark, ("upd", "I", "2024-01-01 00:00:00", "1")))
+    scd2.publish_batch(spark, root, "0002", second)
+    current = scd2.current_version(scd2.read_history(spark, root))
+    files = {f.split("/products/")[1].rsplit("/", 1)[0] for f in current.inputFiles()}
+    assert len(files) > 1, "the relation covers every slice"
+    scan = plan_of(current)
+    filters = scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "is_current" in filters and "batch" in filters
