@@ -70,7 +70,8 @@ def publish_feed(df: DataFrame, path: str, fmt: str = "csv", mode: str = "append
     """Write a feed as text under ``year=/month=/day=`` folders.
 
     ``df`` carries the three day columns. CSV gets a header; JSON is one record
-    per line. Times are ISO text with microseconds in both.
+    per line. Times are ISO text with microseconds in both. CSV cannot tell
+    empty text from NULL: both read back as NULL.
     """
     if fmt not in ("csv", "json"):
         raise ValueError(f"fmt must be csv or json, got {fmt!r}")
