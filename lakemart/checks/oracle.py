@@ -247,6 +247,9 @@ ORACLE: dict[str, str] = {
     "fact_orders": _sql(
         f"SELECT {_ORDER_COLUMNS}, {RUN_TS} AS processed_timestamp FROM r_orders", "r_orders"
     ),
+    "fact_orders_loaded": _sql(
+        f"SELECT {_ORDER_COLUMNS}, {RUN_TS} AS processed_timestamp FROM r_orders", "r_orders"
+    ),
     "dim_product": _sql(
         "SELECT DISTINCT product_id, product_name, category, brand, price, launch_date,"
         f" is_active, {RUN_TS} AS processed_timestamp FROM r_products",

@@ -83,6 +83,17 @@ def fact_orders(spark, sf_dir):
     return _fact(spark, sf_dir)
 
 
+@query
+def fact_orders_loaded(spark, sf_dir):
+    """The fact created empty, loaded from a day-partitioned table, read by name."""
+    path = scratch_dir(spark) + "/fact_orders"
+    writers.write_table(writers.empty_like(schemas.FACT_ORDERS, spark), path, "overwrite")
+    silver = writers.land_on(td.orders(spark, sf_dir), F.to_date("order_timestamp"))
+    writers.write_table(star.fact_orders(silver), path, "append")
+    readers.name_for_sql(readers.read_table(spark, path), "lakemart_fact_loaded")
+    return readers.read_catalog(spark, "lakemart_fact_loaded")
+
+
 @query
 def dim_product(spark, sf_dir):
     return _dim_product(spark, sf_dir)

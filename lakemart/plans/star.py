@@ -20,7 +20,11 @@ PRODUCT_COLUMNS = (
 
 
 def fact_orders(orders: DataFrame) -> DataFrame:
-    """One row per order, money as decimal(10,2). An amount that does not fit stops the job."""
+    """The fact's ten columns, money as decimal(10,2); other columns are left behind.
+
+    Serves the first build and every later load. An amount that does not fit
+    stops the job.
+    """
     return schemas.conform(orders, schemas.FACT_ORDERS, on_bad_value="fail")
 
 
