@@ -221,7 +221,7 @@ _ORDER_COLUMNS = (
 )
 _LANDED = (
     "CAST(year({0}) AS INTEGER) AS year, CAST(month({0}) AS INTEGER) AS month,"
-    " CAST(1 AS INTEGER) AS day"
+    " CAST(day(date_trunc('month', {0})) AS INTEGER) AS day"
 )
 _SILVER_ORDERS = (
     f"SELECT {_ORDER_COLUMNS}, {_LANDED.format('order_timestamp')},"
@@ -240,7 +240,9 @@ ORACLE: dict[str, str] = {
         SELECT CAST(year(order_timestamp) AS INTEGER) AS year,
                strftime(order_timestamp, '%B') AS month_name, category,
                CAST(sum(total_amount) AS DOUBLE) AS revenue
-        FROM r_orders JOIN r_products USING (product_id) GROUP BY ALL""",
+        FROM r_orders JOIN r_products USING (product_id)
+        WHERE order_timestamp IS NOT NULL
+        GROUP BY ALL""",
         "r_orders",
         "r_products",
     ),
@@ -416,7 +418,7 @@ ORACLE: dict[str, str] = {
                    coalesce(adjustments, 0) AS adjustments,
                    coalesce(sales_inventory, 0) AS sales_inventory,
                    coalesce(net_inventory_change, 0) AS net_inventory_change,
-                   units_sold * CAST(cost_price AS DOUBLE) AS cost
+                   coalesce(units_sold, 0) * CAST(cost_price AS DOUBLE) AS estimated_cost
             FROM r_products p LEFT JOIN sales USING (product_id) LEFT JOIN stock USING (product_id)),
         mean AS (SELECT CAST(sum(exact_revenue) AS DOUBLE) / count(*) AS average_product_revenue
                  FROM filled)
@@ -426,10 +428,9 @@ ORACLE: dict[str, str] = {
                first_sale_date, last_sale_date,
                {_days('last_sale_date', AS_OF)} AS days_since_last_sale,
                stock_in, stock_out, adjustments, sales_inventory, net_inventory_change,
-               coalesce(cost, 0) AS estimated_cost,
-               total_revenue - coalesce(cost, 0) AS gross_profit,
+               estimated_cost, total_revenue - estimated_cost AS gross_profit,
                CASE WHEN total_revenue = 0 THEN 0.0::DOUBLE
-                    ELSE (total_revenue - coalesce(cost, 0)) / total_revenue * 100
+                    ELSE (total_revenue - estimated_cost) / total_revenue * 100
                     END AS gross_margin_percent,
                average_product_revenue,
                CASE WHEN total_revenue >= average_product_revenue * 1.5::DOUBLE THEN 'Best Seller'

@@ -144,7 +144,7 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("remove_from_cart")
     )
     return table(spark, sf_dir, "events").select(
-        F.concat_ws("_", "user_id", F.to_date("ts")).alias("session_id"),
+        F.concat("user_id", F.lit("_"), F.to_date("ts")).alias("session_id"),
         _text("user_id").alias("customer_id"),
         step.alias("event_type"),
         F.get_json_object("props", "$.k").alias("product_id"),

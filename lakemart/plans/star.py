@@ -97,5 +97,5 @@ def revenue_by_month_category(
 
 
 def preview(table: DataFrame, n: int = 10, order_by: Sequence[str] = ()) -> DataFrame:
-    """First ``n`` rows, by ``order_by`` (all columns if none) so it repeats."""
-    return table.orderBy(*(order_by or table.columns)).limit(n)
+    """First ``n`` rows by ``order_by``, or any ``n`` rows without a full scan."""
+    return (table.orderBy(*order_by) if order_by else table).limit(n)
