@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakemart import schemas
 from lakemart.operators import clean, scd2
 from lakemart.plans import basic, gold, star
-from lakemart.session import build_session
+from lakemart.session import build_session, shuffle_partitions_for
 from lakemart.sources import readers, writers
 
 
@@ -206,13 +206,15 @@ def warehouse_tables(run: Run) -> None:
 
 @job
 def warehouse_reports(run: Run) -> None:
-    """Both revenue reports, printed by ``show`` like a console query."""
+    """Both revenue reports, stored highest revenue first."""
     fact, products, calendar = (
         readers.read_table(run.spark, run.path("warehouse", name))
         for name in ("fact_orders", "dim_product", "dim_date")
     )
-    star.revenue_by_category(fact, products).show(truncate=False)
-    star.revenue_by_month_category(fact, products, calendar).show(truncate=False)
+    by_category = star.revenue_by_category(fact, products)
+    run.write_plain(by_category, "warehouse", "revenue_by_category")
+    by_month = star.revenue_by_month_category(fact, products, calendar)
+    run.write_plain(by_month, "warehouse", "revenue_by_month_category")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -224,8 +226,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--day", type=dt.date.fromisoformat)
     parser.add_argument("--batch-id")
     parser.add_argument("--on-bad-value", choices=schemas.BAD_VALUE_MODES, default="null")
+    parser.add_argument(
+        "--shuffle-gb", type=int, help="expected shuffle volume; sets the starting partition count"
+    )
     args = parser.parse_args(argv)
     spark = build_session(f"lakemart-{args.job}")
+    if args.shuffle_gb:
+        cores = spark.sparkContext.defaultParallelism
+        count = shuffle_partitions_for(args.shuffle_gb * 2**30, cores)
+        spark.conf.set("spark.sql.shuffle.partitions", str(count))
     run = Run(
         spark, args.root, args.as_of, args.run_ts, args.day, args.batch_id, args.on_bad_value
     )

@@ -45,7 +45,7 @@ def lookup(
 ) -> DataFrame:
     """Add ``values`` found by ``key``; a key without a match is an error.
 
-    With ``on_unmatched="null"`` the row stays, with NULLs.
+    ``dimension`` has one row per key. With ``on_unmatched="null"`` the row stays, with NULLs.
     """
     if on_unmatched not in UNMATCHED_MODES:
         raise ValueError(f"on_unmatched must be one of {UNMATCHED_MODES}, got {on_unmatched!r}")
@@ -88,7 +88,8 @@ def _slot(key: Column, n: int) -> Column:
 
 def orders_to_sale_movements(orders: DataFrame) -> DataFrame:
     """One SALE movement per order, leaving a warehouse fixed by the order id."""
-    warehouse = F.get(F.array(*[F.lit(w) for w in WAREHOUSES]), _slot(F.col("order_id"), len(WAREHOUSES)).cast("int"))
+    slot = _slot(F.col("order_id"), len(WAREHOUSES)).cast("int")
+    warehouse = F.get(F.array(*[F.lit(w) for w in WAREHOUSES]), slot)
     return orders.select(
         F.concat(F.lit("INV_"), "order_id").alias("inventory_event_id"),
         "product_id",

@@ -313,9 +313,9 @@ def _customer_profiles(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Order metrics, favourites and latest purchase, one row per customer.
 
     Orders are summed per (customer, category, brand) first, which combines
-    map-side and spreads even a hot customer; what is left of a customer then
-    moves once, and totals, both favourites and the latest purchase are read
-    off that one exchange.
+    map-side and spreads even a hot customer. What is left of a customer, at
+    most one row per category and brand of the catalogue, then moves once, and
+    totals, both favourites and the latest purchase are read off that exchange.
     """
     bought = enrich_orders(
         orders.where(F.col("customer_id").isNotNull()), products, ("category", "brand")

@@ -14,7 +14,12 @@ def spark():
         "lakemart-tests",
         master="local[8]",
         shuffle_partitions=8,
-        conf={"spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        conf={
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
+            "spark.sql.execution.arrow.pyspark.enabled": "true",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakemart import schemas
 from lakemart.checks import testdata as td
-from lakemart.jobs import JOBS, Run
+from lakemart.jobs import JOBS, Run, main
 from lakemart.operators import derive
 from lakemart.plans import gold, star
 from lakemart.sources import readers, writers
@@ -118,9 +118,24 @@ def test_basic_marts_and_warehouse(spark, lake):
     got = star.revenue_by_category(fact, dim)
     want = star.revenue_by_category(star.fact_orders(td.orders(spark, SF)), products)
     assert got.collect() == want.collect()
+    stored = readers.read_table(spark, f"{lake}/warehouse/revenue_by_category")
+    assert sorted(stored.collect()) == sorted(want.collect())
+    assert readers.read_table(spark, f"{lake}/warehouse/revenue_by_month_category").count() > 20
 
 
 def test_jobs_ask_for_their_inputs(spark):
     for name in ("silver-orders", "silver-products"):
         with pytest.raises(ValueError, match="needs a"):
             JOBS[name](Run(spark, "/nowhere"))
+
+
+def test_command_line(spark, lake):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        main(["basic-top-products", "--root", lake, "--shuffle-gb", "2"])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert readers.read_table(spark, f"{lake}/gold/top_products").count() > 0
+    with pytest.raises(SystemExit):
+        main(["no-such-job", "--root", lake])

@@ -29,12 +29,14 @@ def normal(frame: pd.DataFrame) -> pd.DataFrame:
         values = frame[column]
         if "date" in column or "timestamp" in column or column.startswith(("effective", "session_")):
             try:
-                values = pd.to_datetime(values).astype("datetime64[us]")
+                values = pd.to_datetime(values, format="ISO8601").astype("datetime64[us]")
             except (ValueError, TypeError):
                 pass
         out[column] = values
-    order = list(out.columns)
-    return out.sort_values(order, key=lambda s: s.astype(str)).reset_index(drop=True)
+    # Rank each column's text once, then sort by the ranks.
+    ranks = pd.DataFrame({c: pd.factorize(out[c].astype(str), sort=True)[0] for c in out.columns})
+    order = ranks.sort_values(list(ranks.columns)).index
+    return out.iloc[order].reset_index(drop=True)
 
 
 def test_every_query_has_a_twin():
