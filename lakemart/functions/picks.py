@@ -20,7 +20,8 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
 
 
-def total_order(df: DataFrame, first: Sequence[Column], keys: Sequence[str]) -> list[Column]:
-    """``first``, then every other column ascending, so equal ranks mean equal rows."""
-    rest = [F.col(c).asc() for c in df.columns if c not in set(keys)]
-    return [*first, *rest]
+def total_order(df: DataFrame, newest: Sequence[str], keys: Sequence[str]) -> list[Column]:
+    """``newest`` descending, then every other column ascending: equal ranks mean equal rows."""
+    settled = {*newest, *keys}
+    rest = [F.col(c).asc() for c in df.columns if c not in settled]
+    return [*[F.col(c).desc() for c in newest], *rest]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,14 +28,14 @@ def _clean(
     raw: DataFrame,
     schema: T.StructType,
     key: str,
-    newest: Sequence[Column],
+    newest: Sequence[str],
     run_ts: RunTs,
     on_bad_value: str,
 ) -> DataFrame:
     landing = _landing(raw)
     typed = schemas.conform(raw, schema, on_bad_value, keep=landing)
-    newest = [*newest, *[F.col(c).desc() for c in landing]]
-    return stamp(pick_one(typed, [key], total_order(typed, newest, [key])), run_ts)
+    order = total_order(typed, [*newest, *landing], [key])
+    return stamp(pick_one(typed, [key], order), run_ts)
 
 
 def clean_customers(
@@ -49,13 +49,13 @@ def clean_inventory(
     raw: DataFrame, run_ts: RunTs = None, on_bad_value: str = "null"
 ) -> DataFrame:
     """One typed row per inventory movement; the latest event time wins."""
-    newest = [F.col("event_timestamp").desc()]
+    newest = ["event_timestamp"]
     return _clean(raw, schemas.INVENTORY, "inventory_event_id", newest, run_ts, on_bad_value)
 
 
 def clean_orders(raw: DataFrame, run_ts: RunTs = None, on_bad_value: str = "null") -> DataFrame:
     """One typed row per order; the latest order time wins."""
-    newest = [F.col("order_timestamp").desc()]
+    newest = ["order_timestamp"]
     return _clean(raw, schemas.ORDERS, "order_id", newest, run_ts, on_bad_value)
 
 
@@ -87,6 +87,5 @@ def clean_product_changes(
     )
     typed = schemas.conform(neat, schemas.PRODUCT_CHANGES, on_bad_value)
     usable = typed.where(F.col("product_id").isNotNull() & F.col("operation").isNotNull())
-    newest = [F.col("source_updated_at").desc()]
-    latest = pick_one(usable, ["product_id"], total_order(usable, newest, ["product_id"]))
-    return stamp(latest, run_ts)
+    order = total_order(usable, ["source_updated_at"], ["product_id"])
+    return stamp(pick_one(usable, ["product_id"], order), run_ts)

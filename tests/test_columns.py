@@ -88,7 +88,7 @@ def test_pick_one_is_total(spark):
     rows = [("k", "2", "b"), ("k", "2", "a"), ("k", "1", "0"), (None, "1", "x"), (None, "9", "y")]
     df = texts(spark, ["k", "v", "w"], rows)
     for parts in (1, 5):
-        order = picks.total_order(df, [F.col("v").desc()], ["k"])
+        order = picks.total_order(df, ["v"], ["k"])
         got = picks.pick_one(df.repartition(parts), ["k"], order).collect()
         assert {tuple(r) for r in got} == {("k", "2", "a"), (None, "9", "y")}
 

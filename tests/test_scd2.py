@@ -1,3 +1,4 @@
+import random
 import tempfile
 
 import pytest
@@ -122,3 +123,50 @@ def test_current_slice_is_pruned(spark, second):
     scan = plan_of(current)
     filters = scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert "is_current" in filters and "batch" in filters
+
+
+def model(batches, expire_on_insert):
+    """The same history by hand: a list of versions, batch after batch."""
+    versions = []
+    for events in batches:
+        latest = {}
+        for product, op, at, price in events:
+            known = latest.get(product)
+            if known is None or at > known[1]:
+                latest[product] = (op.strip().upper(), at, price)
+        for product, (op, at, _) in latest.items():
+            if op in ("U", "D") or (op == "I" and expire_on_insert):
+                for v in versions:
+                    if v["product"] == product and v["to"] is None:
+                        v["to"] = at
+        for product, (op, at, price) in latest.items():
+            if op in ("I", "U"):
+                versions.append({"product": product, "price": float(price), "from": at, "to": None})
+    return sorted((v["product"], v["price"], v["from"], v["to"] or "") for v in versions)
+
+
+@pytest.mark.parametrize("expire_on_insert", [False, True])
+def test_random_batches_against_a_model(spark, expire_on_insert):
+    rng = random.Random(7)
+    batches, prices = [], iter(range(1, 1000))
+    for month in range(1, 5):
+        stamps = [f"2024-{month:02d}-{d:02d} {h:02d}:00:00" for d in range(1, 29) for h in range(24)]
+        rng.shuffle(stamps)
+        batches.append(
+            [
+                (f"p{rng.randrange(12)}", rng.choice(["I", "U", "D", "u ", " d", "X"]), stamps.pop(), str(next(prices)))
+                for _ in range(25)
+            ]
+        )
+    root = tempfile.mkdtemp(prefix="run-") + "/products"
+    for i, events in enumerate(batches):
+        scd2.publish_batch(spark, root, f"{i:04d}", batch(spark, *events), expire_on_insert)
+    rows = scd2.read_history(spark, root).collect()
+    got = sorted(
+        (r.product_id, r.price, str(r.effective_from), str(r.effective_to or "")) for r in rows
+    )
+    assert got == model(batches, expire_on_insert)
+    assert all(r.is_current == (r.effective_to is None) for r in rows)
+    for upto in range(len(batches)):
+        early = scd2.read_history(spark, root, upto=f"{upto:04d}").count()
+        assert early == len(model(batches[: upto + 1], expire_on_insert))
