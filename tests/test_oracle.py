@@ -8,10 +8,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_module
+from lakemart.checks.oracle import ORACLE
+from lakemart.checks.queries import REGISTRY as QUERIES
 
 SF_DIR = os.environ.get("LAKEMART_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +41,8 @@ def normal(frame: pd.DataFrame) -> pd.DataFrame:
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
