@@ -1,0 +1,80 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from lakemart.llm import packing
+from lakemart.llm.queries import BYTE_BPE, BYTE_BPE_RANKS, op8_packing
+
+SF = "/root/testdata/sf0.001"
+
+
+def check_pieces(rows, texts, capacity=2048):
+    """Every id once, crc right, sequences gapless and at most the capacity; returns padding."""
+    whole = Tokenizer.from_file(BYTE_BPE)
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    assert set(by_doc) == set(texts)
+    for doc, pieces in by_doc.items():
+        ids = np.array(whole.encode(texts[doc] or "", add_special_tokens=False).ids + [1], "<u4")
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.start):
+            assert p.start == at and p.doc_tokens == len(ids)
+            assert zlib.crc32(ids[at:at + p.length].tobytes()) == p.ids_crc32
+            at += p.length
+        assert at == len(ids)
+    padding = 0
+    for pieces in by_sequence.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.offset):
+            assert p.offset == at and p.length > 0
+            at += p.length
+        assert at <= capacity
+        padding += 0 if at & (at - 1) == 0 else capacity - at
+    return padding
+
+
+def test_whole_table(spark):
+    rows = op8_packing(spark, SF).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert check_pieces(rows, texts) == 0
+
+
+def test_corner_cases(spark):
+    texts = {
+        1: None, 2: "", 3: "  two   spaces \n\n here \t x", 4: "a" * 9000, 5: "<|endoftext|> and more",
+        6: "word " * 5000, 7: "line\nnext\n\nlast ", 8: "é" * 3 + " ñandú 12345", 9: " lead",
+    }
+    docs = spark.createDataFrame([(k, v, 7) for k, v in texts.items()], "doc_id long, text string, length int")
+    rows = packing.pack_documents(docs.coalesce(1), BYTE_BPE, BYTE_BPE_RANKS, window_tokens=3000).collect()
+    assert check_pieces(rows, texts) == 0
+    assert packing.pack_documents(docs.limit(0), BYTE_BPE, BYTE_BPE_RANKS).count() == 0
+
+
+def test_repeated_and_null_ids(spark):
+    docs = spark.createDataFrame([(5, "same text"), (5, "same text"), (None, "x")], "doc_id long, text string")
+    rows = packing.pack_documents(docs, BYTE_BPE, BYTE_BPE_RANKS).collect()
+    assert sum(r.length for r in rows if r.doc_id == 5 ) == 2 * rows[0].doc_tokens
+    assert any(r.doc_id is None for r in rows)
+
+
+@pytest.mark.parametrize("segments", [2, 40])
+def test_examples_keep_all_limits(spark, segments):
+    rng = np.random.default_rng(3)
+    made = [(i, int(t), int(t * f)) for i, (t, f) in enumerate(zip(rng.integers(1, 900, 700), rng.random(700)))]
+    made += [(1000, 5000, 10), (1001, None, None), (1002, 10, 10)]
+    df = spark.createDataFrame(made, "example_id long, n_tokens long, n_loss long").coalesce(1)
+    rows = packing.pack_examples(df, 2048, segments, 900, window_items=200).collect()
+    assert sorted(r.example_id for r in rows) == sorted(m[0] for m in made)
+    total = defaultdict(lambda: [0, 0, 0])
+    for r in rows:
+        for d, v in enumerate((r.n_tokens, 1, r.n_loss)):
+            total[r.sequence_id][d] += v
+    assert all(t[0] <= 2048 and t[1] <= segments and t[2] <= 900 for t in total.values() if t[0] < 5000)
+    if segments == 40:  # near the bound given by the scarcest limit
+        least = max(sum(r.n_tokens for r in rows) / 2048, sum(r.n_loss for r in rows) / 900)
+        assert len(total) <= 1.15 * least + 3
