@@ -4,20 +4,43 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import packing
-from lakemart.llm.common import table
+from lakemart.llm import html_text, jaccard, packing, toxicity
+from lakemart.llm.common import remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.KneserNey:
+    """The models as op1 and the pipeline fit them: every fourth id is held out."""
+    return toxicity.fit(docs, labels, keep=remainder(F.col("doc_id"), 4) != 2)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, held_out=remainder(F.col("doc_id"), 4) == 2)
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, BYTE_BPE_RANKS)
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
+    "op1_toxicity": op1_toxicity,
+    "op3_html": op3_html,
     "op8_packing": op8_packing,
+    "op10_jaccard": op10_jaccard,
 }
 #: Queries that SQL can express on whole tables.
 ORACLE: dict[str, str] = {}
