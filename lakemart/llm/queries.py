@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import html_text, jaccard, packing, toxicity
+from lakemart.llm import chaining, html_text, jaccard, packing, toxicity
 from lakemart.llm.common import remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,10 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, BYTE_BPE_RANKS)
 
@@ -39,6 +43,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_toxicity": op1_toxicity,
     "op3_html": op3_html,
+    "op5_passages": op5_passages,
     "op8_packing": op8_packing,
     "op10_jaccard": op10_jaccard,
 }

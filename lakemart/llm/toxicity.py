@@ -28,13 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakemart.llm.shingles import slices
+
 WORD = re.compile(r"\w+").findall
 STEMS = (7, 6, 5, 4)
 WINDOWS = (12, 60)
 DISCOUNT = 0.75
 THRESHOLD = 0.3
-SCORED = "doc_id long, held_out boolean, score double, predicted int, mean_llr double, peak_llr double"
-_SLICE_CHARS = 1_000_000
+SCORED = "doc_id long, held_out boolean, score double, predicted int"
 
 
 @dataclass(frozen=True)
@@ -229,6 +230,13 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, sample: Sample = Sampl
         taught.unpersist()
 
 
+def score_texts(model: KneserNey, texts: list[str | None]) -> np.ndarray:
+    """Scores of the texts, a bounded number of characters at a time."""
+    texts = [t or "" for t in texts]
+    parts = [model.features(texts[at:end]) for at, end in slices(texts)]
+    return model.score(np.concatenate(parts)) if parts else np.zeros(0)
+
+
 def score(docs: DataFrame, model: KneserNey, held_out: Column, threshold: float = THRESHOLD) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text).
 
@@ -240,21 +248,10 @@ def score(docs: DataFrame, model: KneserNey, held_out: Column, threshold: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            parts, at = [], 0
-            while at < len(texts):  # a bounded number of characters at a time
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end]) <= _SLICE_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                parts.append(model.features(texts[at:end]))
-                at = end
-            f = np.concatenate(parts) if parts else np.zeros((0, 1 + len(WINDOWS)))
-            s = model.score(f)
+            s = score_texts(model, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32)),
-                 pa.array(f[:, 0]), pa.array(f[:, 1])],
-                ["doc_id", "held_out", "score", "predicted", "mean_llr", "peak_llr"])
+                [batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
+                ["doc_id", "held_out", "score", "predicted"])
 
     return docs.select(
         F.col("doc_id").cast("long"), held_out.alias("held_out"), F.col("text").cast("string")
