@@ -41,7 +41,7 @@ class Forest:
     depth: int = 6
     recall: float = 0.9995
     agree: float = 0.55
-    follow: float = 0.95
+    follow: float = 0.9
     block: int = 1024
 
     def prefix(self) -> int:
@@ -91,22 +91,33 @@ class Leaders:
     def __init__(self, forest: Forest):
         self.forest, self.n = forest, 0
         self.ids = np.zeros(8, np.int64)
+        self.groups = np.zeros(8, np.int64)
         self.sketches = np.zeros((8, _SKETCH), np.uint8)
 
     def add(self, doc: int, sketch: np.ndarray) -> tuple[np.ndarray, bool]:
-        """The leaders that ``doc`` is linked to, and whether it follows one of them."""
+        """A leader of every group that ``doc`` joins up, and whether it follows one of them.
+
+        Leaders that are joined already need no further edge, so the edges of a
+        prefix group are no more than its texts.
+        """
         if self.n:
             share = (self.sketches[: self.n] == sketch).mean(axis=1)
             best = int(share.argmax())
             if share[best] >= self.forest.follow:
                 return self.ids[best : best + 1], True
-            linked = self.ids[: self.n][share >= self.forest.agree]
+            near = np.flatnonzero(share >= self.forest.agree)
+            groups, first = np.unique(self.groups[near], return_index=True)
+            linked = self.ids[near[first]]
+            if len(groups):
+                self.groups[: self.n][np.isin(self.groups[: self.n], groups[1:])] = groups[0]
         else:
-            linked = self.ids[:0]
+            groups, linked = self.groups[:0], self.ids[:0]
         if self.n == len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.groups = np.concatenate([self.groups, np.zeros_like(self.groups)])
             self.sketches = np.concatenate([self.sketches, np.zeros_like(self.sketches)])
         self.ids[self.n], self.sketches[self.n] = doc, sketch
+        self.groups[self.n] = groups[0] if len(groups) else self.n
         self.n += 1
         return linked.copy(), False
 
