@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chaining, html_text, jaccard, packing, toxicity
+from lakemart.llm import chaining, html_text, jaccard, packing, ppm, toxicity
 from lakemart.llm.common import remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +24,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, held_out=remainder(F.col("doc_id"), 4) == 2)
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ppm.score(docs, held_out=remainder(F.col("doc_id"), 7) == 2)
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -42,6 +47,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_toxicity": op1_toxicity,
+    "op2_ppm": op2_ppm,
     "op3_html": op3_html,
     "op5_passages": op5_passages,
     "op8_packing": op8_packing,
