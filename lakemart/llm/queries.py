@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chaining, html_text, jaccard, packing, ppm, toxicity
+from lakemart.llm import chaining, html_text, jaccard, packing, ppm, toxicity, tree_search
 from lakemart.llm.common import remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +41,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, BYTE_BPE_RANKS)
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ REGISTRY = {
     "op3_html": op3_html,
     "op5_passages": op5_passages,
     "op8_packing": op8_packing,
+    "op9_ann": op9_ann,
     "op10_jaccard": op10_jaccard,
 }
 #: Queries that SQL can express on whole tables.
