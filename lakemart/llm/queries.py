@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chaining, html_text, jaccard, packing, ppm, toxicity, tree_search
+from lakemart.llm import chaining, graph_dedup, html_text, jaccard, packing, ppm, toxicity, tree_search
 from lakemart.llm.common import remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,10 @@ def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.passages(table(spark, sf_dir, "documents"))
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, BYTE_BPE_RANKS)
 
@@ -54,6 +58,7 @@ REGISTRY = {
     "op2_ppm": op2_ppm,
     "op3_html": op3_html,
     "op5_passages": op5_passages,
+    "op6_near_vectors": op6_near_vectors,
     "op8_packing": op8_packing,
     "op9_ann": op9_ann,
     "op10_jaccard": op10_jaccard,
