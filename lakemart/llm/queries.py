@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chaining, graph_dedup, html_text, jaccard, packing, ppm, toxicity, tree_search
+from lakemart.llm import chaining, graph_dedup, html_text, jaccard, license_scan, packing, ppm, toxicity, tree_search
 from lakemart.llm.common import remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +41,10 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_dedup.link(table(spark, sf_dir, "embeddings"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, BYTE_BPE_RANKS)
 
@@ -59,9 +63,10 @@ REGISTRY = {
     "op3_html": op3_html,
     "op5_passages": op5_passages,
     "op6_near_vectors": op6_near_vectors,
+    "op7_licenses": op7_licenses,
     "op8_packing": op8_packing,
     "op9_ann": op9_ann,
     "op10_jaccard": op10_jaccard,
 }
 #: Queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_licenses": license_scan.oracle()}
