@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chaining, graph_dedup, html_text, jaccard, license_scan, packing, ppm, toxicity, tree_search
+from lakemart.llm import chaining, graph_dedup, html_text, jaccard, license_scan, packing, pieces, ppm, toxicity, tree_search
 from lakemart.llm.common import remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -33,6 +34,11 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECES)
+    return pieces.digests(encoded, PIECES)
+
+
 def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.passages(table(spark, sf_dir, "documents"))
 
@@ -61,6 +67,7 @@ REGISTRY = {
     "op1_toxicity": op1_toxicity,
     "op2_ppm": op2_ppm,
     "op3_html": op3_html,
+    "op4_pieces": op4_pieces,
     "op5_passages": op5_passages,
     "op6_near_vectors": op6_near_vectors,
     "op7_licenses": op7_licenses,
