@@ -3,7 +3,8 @@
 Every cleaner selects its contract's columns by name, types them, keeps one
 row per key under a total order (latest first, then all other columns, so the
 survivor does not depend on file order) and stamps the run. Landing-day
-columns ride along where the feed has them.
+columns ride along where the feed has them. Records that a reader set aside as
+malformed are left out.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from lakemart import schemas
 from lakemart.functions.clock import RunTs, stamp
 from lakemart.functions.picks import pick_one, total_order
-from lakemart.sources.readers import DAY_COLUMNS
+from lakemart.sources.readers import DAY_COLUMNS, well_formed
 
 
 def _landing(df: DataFrame) -> tuple[str, ...]:
@@ -32,6 +33,7 @@ def _clean(
     run_ts: RunTs,
     on_bad_value: str,
 ) -> DataFrame:
+    raw = well_formed(raw)
     landing = _landing(raw)
     typed = schemas.conform(raw, schema, on_bad_value, keep=landing)
     order = total_order(typed, [*newest, *landing], [key])
@@ -61,12 +63,12 @@ def clean_orders(raw: DataFrame, run_ts: RunTs = None, on_bad_value: str = "null
 
 def clean_payments(raw: DataFrame, on_bad_value: str = "null") -> DataFrame:
     """Typed payments; the feed has a contract but no table is built from it."""
-    return schemas.conform(raw, schemas.PAYMENTS, on_bad_value, keep=_landing(raw))
+    return schemas.conform(well_formed(raw), schemas.PAYMENTS, on_bad_value, keep=_landing(raw))
 
 
 def clean_clickstream(raw: DataFrame, on_bad_value: str = "null") -> DataFrame:
     """Typed click events. Repeated events are kept: the feed has no event key."""
-    return schemas.conform(raw, schemas.CLICKSTREAM, on_bad_value, keep=_landing(raw))
+    return schemas.conform(well_formed(raw), schemas.CLICKSTREAM, on_bad_value, keep=_landing(raw))
 
 
 def clean_product_changes(
@@ -79,7 +81,7 @@ def clean_product_changes(
     """
     trimmed = ("product_id", "product_name", "category", "subcategory", "brand")
     schemas.require(raw, schemas.PRODUCT_CHANGES.names, "product changes")
-    neat = raw.withColumns(
+    neat = well_formed(raw).withColumns(
         {
             **{c: F.trim(c) for c in trimmed},
             "operation": F.upper(F.trim("operation")),

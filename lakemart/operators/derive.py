@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNMATCHED_MODES = ("fail", "null")
+REPEATED_MODES = ("fail", "first")
 
 PRODUCT_ATTRIBUTES = ("category", "brand", "cost_price", "launch_date", "is_active")
 
@@ -42,24 +43,37 @@ def lookup(
     key: str,
     values: list[str],
     on_unmatched: str = "fail",
+    on_repeated: str = "fail",
 ) -> DataFrame:
     """Add ``values`` found by ``key``; a key without a match is an error.
 
-    ``dimension`` has one row per key. With ``on_unmatched="null"`` the row stays, with NULLs.
+    With ``on_unmatched="null"`` the row stays, with NULLs. A matched key that
+    ``dimension`` has more than once is an error too, or with
+    ``on_repeated="first"`` gives the row whose ``values`` sort first. The
+    dimension is reduced to its keys on the exchange that the join needs anyway.
     """
     if on_unmatched not in UNMATCHED_MODES:
         raise ValueError(f"on_unmatched must be one of {UNMATCHED_MODES}, got {on_unmatched!r}")
-    found = "__found"
-    right = dimension.select(key, *values).withColumn(found, F.lit(True))
+    if on_repeated not in REPEATED_MODES:
+        raise ValueError(f"on_repeated must be one of {REPEATED_MODES}, got {on_repeated!r}")
+    row, times = "__row", "__times"
+    right = dimension.groupBy(key).agg(
+        F.min(F.struct(*values)).alias(row), F.count(F.lit(1)).alias(times))
     joined = facts.join(right, key, "left")
-    if on_unmatched == "fail":
-        # The check sits on the looked-up columns themselves, so no later
-        # projection that still uses one of them can optimise it away.
-        message = F.concat(F.lit(f"no match for {key} "), F.coalesce(F.col(key), F.lit("NULL")))
-        joined = joined.withColumns(
-            {v: F.when(F.col(found), F.col(v)).otherwise(F.raise_error(message)) for v in values}
-        )
-    return joined.drop(found)
+    name = F.coalesce(F.col(key).cast("string"), F.lit("NULL"))
+
+    def checked(value: str):
+        # The checks sit on the looked-up columns themselves, so no later
+        # projection that still uses one of them can optimise them away.
+        found = F.col(f"{row}.{value}")
+        if on_repeated == "fail":
+            found = F.when(F.col(times) > 1, F.raise_error(F.concat(F.lit(f"repeated {key} "), name))).otherwise(found)
+        if on_unmatched == "fail":
+            missing = F.raise_error(F.concat(F.lit(f"no match for {key} "), name))
+            found = F.when(F.col(times).isNull(), missing).otherwise(found)
+        return found
+
+    return joined.withColumns({v: checked(v) for v in values}).drop(row, times)
 
 
 def price_orders(

@@ -8,11 +8,15 @@ again changes nothing.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart import schemas
+from lakemart.session import remove
 from lakemart.sources.writers import empty_like, write_table
 
 COLUMNS = schemas.PRODUCT_HISTORY.names
@@ -106,35 +110,96 @@ def check_overlaps(history: DataFrame) -> DataFrame:
     )
 
 
-# ---- storage: <root>/batch=<id>/is_current=<true|false> ----
+# ---- storage: <root>/batch=<id>/is_current=<true|false>, <root>/compact=<id>/..., <root>/_published/ ----
+
+_STORED = T.StructType(list(schemas.PRODUCT_HISTORY.fields))
+_PUBLISHED, _COMPACT = "_published", "compact="
+_SAFE_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _names(spark: SparkSession, pattern: str) -> list[str]:
+    place, fs = _files(spark, pattern)
+    return sorted(f.getPath().getName() for f in fs.globStatus(place) or [])
+
 
-_STORED = T.StructType([*schemas.PRODUCT_HISTORY.fields, T.StructField("batch", T.StringType())])
+def _checked_id(batch_id: str) -> str:
+    if not _SAFE_ID.fullmatch(batch_id):
+        raise ValueError(f"batch id {batch_id!r} may hold letters, digits, dot, dash and underscore")
+    return batch_id
+
+
+def _mark(spark: SparkSession, root: str, name: str) -> None:
+    """Make ``name`` visible; of two writers of one name the second fails."""
+    place, fs = _files(spark, f"{root.rstrip('/')}/{_PUBLISHED}/{name}")
+    fs.create(place, False).close()
 
 
 def published_batches(spark: SparkSession, root: str) -> list[str]:
-    """Ids of the batches written to the end, in order."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/batch=*/_SUCCESS")
-    fs = marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    found = fs.globStatus(marker) or []
-    return sorted(s.getPath().getParent().getName().removeprefix("batch=") for s in found)
+    """Ids of the batches whose own marker was set after the data job, in order."""
+    names = _names(spark, f"{root.rstrip('/')}/{_PUBLISHED}/*")
+    return [n for n in names if not n.startswith(_COMPACT)]
+
+
+def _compacted(spark: SparkSession, root: str) -> str | None:
+    """The newest batch that a finished compaction covers."""
+    names = _names(spark, f"{root.rstrip('/')}/{_PUBLISHED}/{_COMPACT}*")
+    return names[-1].removeprefix(_COMPACT) if names else None
+
+
+def _unmarked(spark: SparkSession, root: str, done: list[str]) -> list[str]:
+    """Batch folders with data and no marker: a run that died, or is under way."""
+    found = _names(spark, f"{root.rstrip('/')}/batch=*")
+    return [n for n in (f.removeprefix("batch=") for f in found) if n not in done]
+
+
+def _slice(spark: SparkSession, root: str, folder: str, current: bool) -> DataFrame | None:
+    """One stored slice, if it has rows; only its own folder is opened."""
+    path = f"{root.rstrip('/')}/{folder}/is_current={str(current).lower()}"
+    place, fs = _files(spark, path)
+    if not fs.exists(place):
+        return None
+    names = [f for f in _STORED.fields if f.name != "is_current"]
+    stored = spark.read.schema(T.StructType(names)).parquet(path)
+    return stored.withColumn("is_current", F.lit(current)).select(COLUMNS)
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The versions in force after the newest batch: one folder, however many batches."""
+    done = published_batches(spark, root)
+    if not done:
+        return read_history(spark, root)
+    covered = _compacted(spark, root)
+    folder = f"{_COMPACT}{covered}" if covered == done[-1] else f"batch={done[-1]}"
+    found = _slice(spark, root, folder, current=True)
+    return empty_history(spark) if found is None else found
 
 
 def read_history(spark: SparkSession, root: str, upto: str | None = None) -> DataFrame:
-    """Every version as of batch ``upto`` (the newest complete one by default).
+    """Every version as of batch ``upto`` (the newest published one by default).
 
-    Folders other than the wanted slices are pruned before the scan.
+    Of batches that a compaction covers only its state is left, so ``upto`` can't
+    be older. Data without any marker is an error: it was never published, or
+    the markers are lost.
     """
-    done = [b for b in published_batches(spark, root) if upto is None or b <= upto]
+    every = published_batches(spark, root)
+    if not every and _unmarked(spark, root, every):
+        raise ValueError(f"{root} holds batches, but none is published; repeat the first one")
+    covered = _compacted(spark, root)
+    done = [b for b in every if upto is None or b <= upto]
     if not done:
         return empty_history(spark)
-    base = root.rstrip("/")
-    stored = (
-        spark.read.schema(_STORED)
-        .option("basePath", base)
-        .parquet(*[f"{base}/batch={b}" for b in done])
-    )
-    newest = F.col("batch") == done[-1]
-    return stored.where(~F.col("is_current") | newest).select(COLUMNS)
+    if covered is not None and done[-1] < covered:
+        raise ValueError(f"batch {upto!r} is part of the history compacted up to {covered!r}")
+    later = [f"batch={b}" for b in done if covered is None or b > covered]
+    folders = ([f"{_COMPACT}{covered}"] if covered is not None else []) + later
+    parts = [_slice(spark, root, f, current=False) for f in folders]
+    parts.append(_slice(spark, root, folders[-1], current=True))
+    return reduce(DataFrame.unionByName, [p for p in parts if p is not None], empty_history(spark))
 
 
 def publish_batch(
@@ -147,15 +212,41 @@ def publish_batch(
     """Apply ``batch`` to the stored history; False if it is already there.
 
     Ids must sort in batch order. Closed and current versions are written by
-    one job into a folder of their own, whose success marker makes the batch
-    visible; a run that died before it is simply repeated.
+    one job into a folder of their own; the batch is visible once its marker
+    is set after that job, and a run that died before it is simply repeated.
+    Another batch's folder without a marker stops the run: it has to be
+    repeated first, or else its changes would be lost.
     """
     done = published_batches(spark, root)
-    if batch_id in done:
+    if _checked_id(batch_id) in done:
         return False
     if done and batch_id < done[-1]:
         raise ValueError(f"batch {batch_id!r} sorts before the published {done[-1]!r}")
-    after = advance(current_version(read_history(spark, root)), batch, expire_on_insert)
+    open_ids = [b for b in _unmarked(spark, root, done) if b != batch_id]
+    if open_ids:
+        raise ValueError(f"batches {open_ids} have data but were not published; repeat them first")
+    current = read_current(spark, root) if done else empty_history(spark)
     folder = f"{root.rstrip('/')}/batch={batch_id}"
-    write_table(after, folder, mode="overwrite", partition_by=["is_current"])
+    write_table(advance(current, batch, expire_on_insert), folder, mode="overwrite", partition_by=["is_current"])
+    _mark(spark, root, batch_id)
+    return True
+
+
+def compact(spark: SparkSession, root: str) -> bool:
+    """Merge the closed versions of all published batches and the newest current slice.
+
+    Superseded folders go once the merged one is marked, so a reader that began
+    before may have to start again; False if there is nothing to merge. No
+    batch may be published meanwhile.
+    """
+    done = published_batches(spark, root)
+    covered = _compacted(spark, root)
+    if not done or covered == done[-1]:
+        return False
+    base, upto = root.rstrip("/"), done[-1]
+    write_table(read_history(spark, root), f"{base}/{_COMPACT}{upto}", mode="overwrite", partition_by=["is_current"])
+    _mark(spark, root, f"{_COMPACT}{upto}")
+    old = [f"batch={b}" for b in done] + ([f"{_COMPACT}{covered}"] if covered is not None else [])
+    for folder in old:
+        remove(spark, f"{base}/{folder}")
     return True

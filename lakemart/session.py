@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,13 +50,21 @@ def build_session(
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder name every executor can reach.
 
-    Taken under ``spark.checkpoint.dir`` when the cluster names one; a local
-    temporary folder is used only where that setting is absent (tests).
+    Taken under ``spark.checkpoint.dir``; a local session without that setting
+    uses its warehouse folder, a cluster has to name one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/lakemart-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="lakemart-")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{shared.rstrip('/')}/lakemart-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -11,6 +11,51 @@ from pyspark.sql import types as T
 from lakemart import schemas
 
 DAY_COLUMNS = ("year", "month", "day")
+CORRUPT = "_corrupt_record"
+BAD_RECORD_MODES = ("fail", "aside")
+
+# How line breaks are spelled in a CSV feed that escapes them.
+LINE_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _on_bad_record(reader, mode: str):
+    """Stop at a malformed record, or keep it whole in a column of its own.
+
+    Without column pruning, so that a record is judged by all of its cells,
+    whatever the job reads of it.
+    """
+    if mode not in BAD_RECORD_MODES:
+        raise ValueError(f"on_bad_record must be one of {BAD_RECORD_MODES}, got {mode!r}")
+    reader = reader.option("columnPruning", "false")
+    if mode == "fail":
+        return reader.option("mode", "FAILFAST")
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def set_aside(df: DataFrame) -> DataFrame:
+    """The malformed records of a feed read with ``on_bad_record="aside"``."""
+    return df.where(F.col(CORRUPT).isNotNull())
+
+
+def well_formed(df: DataFrame) -> DataFrame:
+    """The records that are not set aside; a feed without that column as it is."""
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in df.columns else df
+
+
+def unescape_lines(df: DataFrame) -> DataFrame:
+    """Undo the line-break escapes of ``publish_feed`` in every text column."""
+
+    def plain(name: str):
+        # Between doubled backslashes every other one begins a line break.
+        def breaks(part):
+            for raw, spelled in LINE_ESCAPES[1:]:
+                part = F.replace(part, F.lit(spelled), F.lit(raw))
+            return part
+
+        return F.array_join(F.transform(F.split(name, r"\\\\", -1), breaks), "\\")
+
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: plain(c) for c in texts})
 
 
 def read_csv_feed(
@@ -19,6 +64,8 @@ def read_csv_feed(
     schema: T.StructType | None = None,
     base_path: str | None = None,
     days_from_path: bool = False,
+    on_bad_record: str = "fail",
+    escaped_lines: bool = False,
 ) -> DataFrame:
     """All-text CSV feed under ``path``, with its landing day as int columns.
 
@@ -31,26 +78,49 @@ def read_csv_feed(
     The day comes from the partition folders. Set ``days_from_path`` for feeds
     whose folders cannot be discovered as partitions (uneven depth, extra
     levels): then it is read off each file's path.
+
+    A record with too few or too many cells stops the job; with
+    ``on_bad_record="aside"`` it stays, marked in ``_corrupt_record``, and the
+    cleaners leave it out (see ``set_aside``). ``escaped_lines`` undoes the
+    escapes that ``publish_feed`` writes on request.
     """
-    reader = spark.read.options(header="true", enforceSchema="false")
+    # Quotes inside a quoted cell are doubled, so a backslash is only itself.
+    options = {"header": "true", "enforceSchema": "false", "escape": '"'}
     if base_path:
-        reader = reader.option("basePath", base_path)
+        options["basePath"] = base_path
     if days_from_path:
-        df = with_path_day(reader.option("recursiveFileLookup", "true").csv(path))
-    else:
-        df = reader.csv(path)
+        options["recursiveFileLookup"] = "true"
+    reader = _on_bad_record(spark.read.options(**options), on_bad_record)
+    df = reader.csv(path)
+    if on_bad_record == "aside":
+        header = [f for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        df = reader.schema(T.StructType([*header, T.StructField(CORRUPT, T.StringType())])).csv(path)
+    if days_from_path:
+        df = with_path_day(df)
+    if escaped_lines:
+        df = unescape_lines(df)
     if schema is None:
         return df
     schemas.require(df, schema.names, f"feed {path}")
-    landing = [c for c in DAY_COLUMNS if c in df.columns and c not in schema.names]
-    return df.select(*schema.names, *landing)
+    others = (*DAY_COLUMNS, CORRUPT)
+    return df.select(*schema.names, *[c for c in others if c in df.columns and c not in schema.names])
 
 
 def read_json_feed(
-    spark: SparkSession, path: str, schema: T.StructType, base_path: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    base_path: str | None = None,
+    on_bad_record: str = "fail",
 ) -> DataFrame:
-    """JSON-lines feed with every field as text; no inference pass over the data."""
-    reader = spark.read.schema(schemas.as_text(schema))
+    """JSON-lines feed with every field as text; no inference pass over the data.
+
+    A broken line stops the job or is set aside, as in ``read_csv_feed``.
+    """
+    fields = list(schemas.as_text(schema).fields)
+    if on_bad_record == "aside":
+        fields.append(T.StructField(CORRUPT, T.StringType()))
+    reader = _on_bad_record(spark.read.schema(T.StructType(fields)), on_bad_record)
     if base_path:
         reader = reader.option("basePath", base_path)
     return reader.json(path)
@@ -68,10 +138,15 @@ def day_path(path: str, day: dt.date) -> str:
 
 
 def read_csv_day(
-    spark: SparkSession, path: str, day: dt.date, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    day: dt.date,
+    schema: T.StructType | None = None,
+    on_bad_record: str = "fail",
 ) -> DataFrame:
     """One day of a CSV feed. Only that day's folder is listed, however long the feed."""
-    return read_csv_feed(spark, day_path(path, day), schema, base_path=path)
+    return read_csv_feed(
+        spark, day_path(path, day), schema, base_path=path, on_bad_record=on_bad_record)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

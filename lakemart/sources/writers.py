@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.sources.readers import DAY_COLUMNS
+from lakemart.sources.readers import DAY_COLUMNS, LINE_ESCAPES
 
 WRITE_MODES = ("append", "overwrite", "dynamic")
 
@@ -57,9 +58,28 @@ def write_table(
     writer.parquet(path)
 
 
-def write_gold(df: DataFrame, path: str) -> None:
-    """Write a mart into its run's partition; running again replaces that run."""
-    write_table(df, path, mode="dynamic", partition_by=DAY_COLUMNS)
+def write_day(df: DataFrame, path: str, day: dt.date) -> None:
+    """Replace one day's folder by ``df``, also when ``df`` has no rows.
+
+    A dynamic overwrite only clears partitions that it has rows for; here the
+    run knows its day. A row of another day stops the write.
+    """
+    own = (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
+    stop = F.raise_error(F.lit(f"a row is not of {day}")).cast("boolean")
+    rows = df.where(F.when(own, True).otherwise(stop)).drop(*DAY_COLUMNS)
+    folder = f"{path.rstrip('/')}/year={day.year}/month={day.month}/day={day.day}"
+    write_table(rows, folder, "overwrite")
+
+
+def write_gold(df: DataFrame, path: str, day: dt.date | None = None) -> None:
+    """Write a mart into its run's partition; running again replaces that run.
+
+    Without the run's ``day`` a second run that finds no rows leaves the first one's.
+    """
+    if day is not None:
+        write_day(df, path, day)
+    else:
+        write_table(df, path, mode="dynamic", partition_by=DAY_COLUMNS)
 
 
 def create_table_as(df: DataFrame, name: str, mode: str = "error") -> None:
@@ -67,19 +87,43 @@ def create_table_as(df: DataFrame, name: str, mode: str = "error") -> None:
     df.write.mode(mode).format("parquet").saveAsTable(name)
 
 
-def publish_feed(df: DataFrame, path: str, fmt: str = "csv", mode: str = "append") -> None:
+def _single_lines(df: DataFrame, escape_lines: bool) -> DataFrame:
+    """Text columns with line breaks escaped, or an error at the first one."""
+
+    def safe(name: str) -> Column:
+        text = F.col(name)
+        if not escape_lines:
+            broken = F.raise_error(F.lit(f"{name} holds a line break; publish with escape_lines"))
+            return F.when(F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r")), broken).otherwise(text)
+        for raw, spelled in LINE_ESCAPES:
+            text = F.replace(text, F.lit(raw), F.lit(spelled))
+        return text
+
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: safe(c) for c in texts})
+
+
+def publish_feed(
+    df: DataFrame, path: str, fmt: str = "csv", mode: str = "append", escape_lines: bool = False
+) -> None:
     """Write a feed as text under ``year=/month=/day=`` folders.
 
     ``df`` carries the three day columns. CSV gets a header; JSON is one record
-    per line. Times are ISO text with microseconds in both. CSV cannot tell
-    empty text from NULL: both read back as NULL.
+    per line. Times are ISO text with microseconds in both. Text keeps its
+    blanks, quotes and backslashes. CSV cannot tell empty text from NULL: both
+    read back as NULL. A CSV cell can't hold a line break, or its file could not
+    be split: the write stops on one, or with ``escape_lines`` spells it as an
+    escape that ``read_csv_feed`` undoes.
     """
     if fmt not in ("csv", "json"):
         raise ValueError(f"fmt must be csv or json, got {fmt!r}")
+    if fmt == "csv":
+        df = _single_lines(df, escape_lines)
     writer = by_folder(df, DAY_COLUMNS).write.mode(mode).partitionBy(*DAY_COLUMNS)
     writer = writer.option("timestampFormat", TIMESTAMP_TEXT).option("dateFormat", DATE_TEXT)
     if fmt == "csv":
-        writer.option("header", "true").csv(path)
+        plain = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+        writer.options(header="true", **plain).csv(path)
     else:
         writer.option("ignoreNullFields", "false").json(path)
 

@@ -96,3 +96,12 @@ def test_enrich_replaces_stale_attributes(orders, products):
     stale = orders.withColumn("category", F.lit("old"))
     got = rows_by(derive.enrich_orders(stale, products.where("product_id <> 'p2'")), "order_id")
     assert (got["o1"].category, got["o2"].category) == ("A", None)
+
+
+def test_lookup_of_a_repeated_key(spark):
+    facts = spark.createDataFrame([("k",)], "key string")
+    twice = spark.createDataFrame([("k", 2, "b"), ("k", 1, "z")], "key string, n int, t string")
+    with pytest.raises(Exception, match="repeated key k"):
+        derive.lookup(facts, twice, "key", ["n"]).collect()
+    got = derive.lookup(facts, twice, "key", ["n", "t"], on_repeated="first").collect()
+    assert [tuple(r) for r in got] == [("k", 1, "z")]

@@ -164,3 +164,37 @@ def test_json_keeps_text(spark, root):
 
 def test_text_helper_is_text(spark):
     assert texts(spark, ["a"], [("1",)]).schema == schemas.as_text(schemas._struct("a int"))
+
+
+def test_text_survives_a_csv_feed(spark, tmp_path):
+    texts = ["  padded  ", 'say "hi"', "back\\slash", "ends with \\", "a,b", "one\ntwo\r\nthree", "\\n \\\\n", "tab\t", None]
+    df = writers.land_on(
+        spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, text string"),
+        F.lit("2024-05-06").cast("date"))
+    for fmt in ("csv", "json"):
+        path = str(tmp_path / fmt)
+        writers.publish_feed(df, path, fmt, escape_lines=True)
+        back = (
+            readers.read_csv_feed(spark, path, escaped_lines=True) if fmt == "csv"
+            else readers.read_json_feed(spark, path, spark.createDataFrame([], "id string, text string").schema))
+        assert {int(r.id): r.text for r in back.collect()} == dict(enumerate(texts))
+    with pytest.raises(Exception, match="line break"):
+        writers.publish_feed(df, str(tmp_path / "plain"))
+
+
+def test_malformed_records_stop_or_stand_aside(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv/a.csv").write_text("a,b,c\n1,2,3\n4,5\n6,7,8,9\n")
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json/a.json").write_text('{"a":"1","b":"2"}\n{"a":"3","b"\n')
+    schema = spark.createDataFrame([], "a string, b string").schema
+    reads = {
+        mode: (readers.read_csv_feed(spark, str(tmp_path / "csv"), schema, on_bad_record=mode),
+               readers.read_json_feed(spark, str(tmp_path / "json"), schema, on_bad_record=mode))
+        for mode in readers.BAD_RECORD_MODES}
+    for df in reads["fail"]:
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            df.collect()
+    for df, good, bad in zip(reads["aside"], (1, 1), (2, 1)):
+        assert [(r.a, r.b) for r in readers.well_formed(df).collect()] == [("1", "2")] and good == 1
+        assert len(readers.set_aside(df).collect()) == bad

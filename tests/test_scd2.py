@@ -1,4 +1,5 @@
 import random
+import os
 import tempfile
 
 import pytest
@@ -6,7 +7,7 @@ import pytest
 from lakemart import schemas
 from lakemart.operators import scd2
 from lakemart.operators.clean import clean_product_changes
-from tests.helpers import plan_of, rows_by, texts, ts
+from tests.helpers import rows_by, texts, ts
 
 
 def batch(spark, *events, run="2024-06-01 00:00:00"):
@@ -113,16 +114,49 @@ def test_half_written_batch_is_invisible_and_repeatable(spark, second):
     assert not got[1.0].is_current and got[2.0].is_current
 
 
-def test_current_slice_is_pruned(spark, second):
+def folders(df):
+    return {f.split("/products/")[1].rsplit("/", 1)[0] for f in df.inputFiles()}
+
+
+def test_only_the_current_folder_is_opened(spark, second):
     root = tempfile.mkdtemp(prefix="run-") + "/products"
     scd2.publish_batch(spark, root, "0001", batch(spark, ("upd", "I", "2024-01-01 00:00:00", "1")))
     scd2.publish_batch(spark, root, "0002", second)
-    current = scd2.current_version(scd2.read_history(spark, root))
-    files = {f.split("/products/")[1].rsplit("/", 1)[0] for f in current.inputFiles()}
-    assert len(files) > 1, "the relation covers every slice"
-    scan = plan_of(current)
-    filters = scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
-    assert "is_current" in filters and "batch" in filters
+    assert folders(scd2.read_current(spark, root)) == {"batch=0002/is_current=true"}
+    assert len(folders(scd2.read_history(spark, root))) == 2
+    before = sorted(map(str, scd2.read_history(spark, root).collect()))
+    assert scd2.compact(spark, root) and not scd2.compact(spark, root)
+    assert folders(scd2.read_history(spark, root)) == {f"compact=0002/is_current={x}" for x in ("true", "false")}
+    assert sorted(map(str, scd2.read_history(spark, root).collect())) == before
+    assert scd2.published_batches(spark, root) == ["0001", "0002"]
+    assert not scd2.publish_batch(spark, root, "0002", second)
+    with pytest.raises(ValueError, match="compacted"):
+        scd2.read_history(spark, root, upto="0001")
+
+
+def test_history_needs_no_success_files(spark, second):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        root = tempfile.mkdtemp(prefix="run-") + "/products"
+        first = batch(spark, ("upd", "I", "2024-01-01 00:00:00", "1"))
+        assert scd2.publish_batch(spark, root, "0001", first) and scd2.publish_batch(spark, root, "0002", second)
+        want = scd2.apply_scd2(scd2.apply_scd2(scd2.empty_history(spark), first), second)
+        assert sorted(map(str, scd2.read_history(spark, root).collect())) == sorted(map(str, want.collect()))
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_unpublished_data_is_an_error(spark, second):
+    root = tempfile.mkdtemp(prefix="run-") + "/products"
+    scd2.publish_batch(spark, root, "0001", batch(spark, ("upd", "I", "2024-01-01 00:00:00", "1")))
+    os.remove(f"{root}/_published/0001")
+    with pytest.raises(ValueError, match="none is published"):
+        scd2.read_history(spark, root)
+    with pytest.raises(ValueError, match="repeat them first"):
+        scd2.publish_batch(spark, root, "0002", second)
+    with pytest.raises(ValueError, match="batch id"):
+        scd2.publish_batch(spark, root, "../x", second)
 
 
 def model(batches, expire_on_insert):
