@@ -569,6 +569,10 @@ ORACLE: dict[str, str] = {
         "r_orders",
     ),
     "csv_partition_roundtrip": _sql(_SILVER_ORDERS, "r_orders"),
+    "orders_with_run_day": _sql(
+        f"SELECT * EXCLUDE (year, month, day) FROM ({_SILVER_ORDERS})", "r_orders"
+    ),
+    "csv_text_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "dynamic_overwrite": _sql(_SILVER_ORDERS, "r_orders"),
     "clean_customers": _sql(
         "SELECT * REPLACE ('moved from ' || city AS city),"
@@ -594,3 +598,8 @@ ORACLE: dict[str, str] = {
         "r_clicks",
     ),
 }
+ORACLE |= {
+    "scd2_compacted": ORACLE["scd2_published"],
+    "fact_loaded_by_day": ORACLE["fact_orders"],
+    "fact_as_table": ORACLE["fact_orders"],
+}

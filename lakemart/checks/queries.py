@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from lakemart import schemas
 from lakemart.checks import testdata as td
 from lakemart.operators import clean, derive, scd2
 from lakemart.plans import basic, gold, star
-from lakemart.session import scratch_dir
+from lakemart.session import scratch_dir, settle
 from lakemart.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,6 +240,18 @@ def scd2_published(spark, sf_dir):
     return scd2.read_history(spark, root)
 
 
+@query
+def scd2_compacted(spark, sf_dir):
+    """A batch, compaction, one more batch, and compaction again."""
+    root = scratch_dir(spark)
+    first = clean.clean_product_changes(td.first_product_load(spark, sf_dir), td.FIRST_LOAD)
+    second = clean.clean_product_changes(td.product_changes(spark, sf_dir), td.RUN_TS)
+    for batch_id, batch in (("0001", first), ("0002", second)):
+        scd2.publish_batch(spark, root, batch_id, batch)
+        scd2.compact(spark, root)
+    return scd2.read_history(spark, root)
+
+
 # ------------------------------------------------------------------ derivations
 
 
@@ -321,6 +334,49 @@ def clean_inventory(spark, sf_dir):
     return clean.clean_inventory(raw, td.RUN_TS)
 
 
+@query
+def csv_text_roundtrip(spark, sf_dir):
+    """Whole documents, line breaks and all, through a CSV feed."""
+    feed = scratch_dir(spark) + "/documents"
+    docs = td.table(spark, sf_dir, "documents")
+    landed = writers.land_on(docs, F.lit(td.AS_OF).cast("date"))
+    writers.publish_feed(landed, feed, escape_lines=True)
+    raw = readers.read_csv_feed(spark, feed, escaped_lines=True)
+    number = {c: F.col(c).cast("bigint") for c in ("doc_id", "n_chars")}
+    return raw.drop(*readers.DAY_COLUMNS).withColumns(number)
+
+
+@query
+def orders_with_run_day(spark, sf_dir):
+    """Orders from a feed without day folders: the run gives the day."""
+    feed = scratch_dir(spark) + "/orders"
+    td.raw_orders(spark, sf_dir).write.option("header", "true").csv(feed)
+    raw = readers.with_run_day(
+        readers.read_csv_feed(spark, feed, schemas.ORDERS), dt.date.fromisoformat(str(td.AS_OF)))
+    return clean.clean_orders(raw, td.RUN_TS).drop(*readers.DAY_COLUMNS)
+
+
+@query
+def fact_loaded_by_day(spark, sf_dir):
+    """The fact partitioned by day: all days but the last ones, then those appended."""
+    path = scratch_dir(spark) + "/fact_by_day"
+    fact = writers.land_on(_fact(spark, sf_dir), F.date_trunc("month", F.col("order_timestamp")))
+    late = F.col("order_timestamp") >= F.lit("1998-01-01").cast("timestamp")
+    writers.write_table(fact.where(~late), path, "append", writers.DAY_COLUMNS, rebalance=True)
+    writers.write_table(fact.where(late), path, "append", writers.DAY_COLUMNS, rebalance=True)
+    return readers.read_table(spark, path).drop(*writers.DAY_COLUMNS)
+
+
+@query
+def fact_as_table(spark, sf_dir):
+    """The fact as a catalog table of its own, read by name and dropped again."""
+    name = f"lakemart_fact_{uuid.uuid4().hex}"
+    writers.create_table_as(_fact(spark, sf_dir), name)
+    stored = settle(readers.read_catalog(spark, name))
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 @query
 def json_roundtrip(spark, sf_dir):
     """Clicks through a day-partitioned JSON-lines feed and the cleaner."""

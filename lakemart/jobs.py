@@ -11,15 +11,18 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart import schemas
 from lakemart.operators import clean, scd2
 from lakemart.plans import basic, gold, star
-from lakemart.session import build_session, shuffle_partitions_for
+from lakemart.session import build_session, remove, shuffle_partitions_for
 from lakemart.sources import readers, writers
 
 
@@ -34,6 +37,7 @@ class Run:
     day: dt.date | None = None
     batch_id: str | None = None
     on_bad_value: str = "null"
+    expire_on_insert: bool = False
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -42,16 +46,39 @@ class Run:
         return readers.read_table(self.spark, self.path("silver", name))
 
     def products(self) -> DataFrame:
-        """Products in force: marts never see closed versions."""
-        history = scd2.read_history(self.spark, self.path("silver", "products"))
-        return scd2.current_version(history)
+        """Products in force: one row each, or every mart would count its orders twice."""
+        current = scd2.read_current(self.spark, self.path("silver", "products"))
+        twice = scd2.check_one_current(current).take(1)
+        if twice:
+            raise ValueError(
+                f"product {twice[0]['product_id']} has several current versions;"
+                " publish inserts with --expire-on-insert")
+        return current
+
+    @property
+    def bad_record(self) -> str:
+        return "fail" if self.on_bad_value == "fail" else "aside"
+
+    def keep_aside(self, raw: DataFrame, feed: str) -> None:
+        """Store the feed's malformed records next to it, for someone to look at."""
+        if readers.CORRUPT in raw.columns:
+            self.write_plain(readers.set_aside(raw), "aside", feed)
+
+    def run_day(self) -> dt.date | None:
+        """The day of the run's time in the session's zone; None for the wall clock."""
+        if self.run_ts is None:
+            return None
+        at = dt.datetime.fromisoformat(str(self.run_ts))
+        if at.tzinfo is not None:
+            at = at.astimezone(ZoneInfo(self.spark.conf.get("spark.sql.session.timeZone")))
+        return at.date()
 
     def write_silver(self, df: DataFrame, name: str, mode: str, many_days: bool) -> None:
         path = self.path("silver", name)
         writers.write_table(df, path, mode, writers.DAY_COLUMNS, rebalance=many_days)
 
     def write_gold(self, df: DataFrame, name: str) -> None:
-        writers.write_gold(df, self.path("gold", name))
+        writers.write_gold(df, self.path("gold", name), self.run_day())
 
     def write_plain(self, df: DataFrame, layer: str, name: str) -> None:
         writers.write_table(df, self.path(layer, name), "overwrite")
@@ -71,7 +98,9 @@ def job(fn: Callable[[Run], None]) -> Callable[[Run], None]:
 @job
 def silver_customers(run: Run) -> None:
     """The whole feed, rewritten: a customer may move to another landing day."""
-    raw = readers.read_csv_feed(run.spark, run.path("bronze", "customers"), schemas.CUSTOMERS)
+    raw = readers.read_csv_feed(
+        run.spark, run.path("bronze", "customers"), schemas.CUSTOMERS, on_bad_record=run.bad_record)
+    run.keep_aside(raw, "customers")
     cleaned = clean.clean_customers(raw, run.run_ts, run.on_bad_value)
     run.write_silver(cleaned, "customers", "overwrite", many_days=True)
 
@@ -79,27 +108,36 @@ def silver_customers(run: Run) -> None:
 @job
 def silver_inventory(run: Run) -> None:
     """The whole feed, rewritten."""
-    raw = readers.read_csv_feed(run.spark, run.path("bronze", "inventory"), schemas.INVENTORY)
+    raw = readers.read_csv_feed(
+        run.spark, run.path("bronze", "inventory"), schemas.INVENTORY, on_bad_record=run.bad_record)
+    run.keep_aside(raw, "inventory")
     cleaned = clean.clean_inventory(raw, run.run_ts, run.on_bad_value)
     run.write_silver(cleaned, "inventory", "overwrite", many_days=True)
 
 
 @job
 def silver_orders(run: Run) -> None:
-    """One landed day; only that day of the table is replaced."""
+    """One landed day; that day of the table is replaced, also by nothing.
+
+    A feed whose folder gives no day takes it from the run.
+    """
     if run.day is None:
         raise ValueError("silver-orders needs a day")
     feed = run.path("bronze", "orders")
-    raw = readers.read_csv_day(run.spark, feed, run.day, schemas.ORDERS)
+    raw = readers.read_csv_day(run.spark, feed, run.day, schemas.ORDERS, run.bad_record)
+    if not set(readers.DAY_COLUMNS) <= set(raw.columns):
+        raw = readers.with_run_day(raw, run.day)
+    run.keep_aside(raw, f"orders/{run.day}")
     cleaned = clean.clean_orders(raw, run.run_ts, run.on_bad_value)
-    run.write_silver(cleaned, "orders", "dynamic", many_days=False)
+    writers.write_day(cleaned, run.path("silver", "orders"), run.day)
 
 
 @job
 def silver_clickstream(run: Run) -> None:
     """The whole feed, rewritten."""
     feed = run.path("bronze", "clickstream")
-    raw = readers.read_json_feed(run.spark, feed, schemas.CLICKSTREAM)
+    raw = readers.read_json_feed(run.spark, feed, schemas.CLICKSTREAM, on_bad_record=run.bad_record)
+    run.keep_aside(raw, "clickstream")
     cleaned = clean.clean_clickstream(raw, run.on_bad_value)
     run.write_silver(cleaned, "clickstream", "overwrite", many_days=True)
 
@@ -110,9 +148,17 @@ def silver_products(run: Run) -> None:
     if run.batch_id is None:
         raise ValueError("silver-products needs a batch id")
     feed = run.path("bronze", f"products/{run.batch_id}")
-    raw = readers.read_csv_feed(run.spark, feed, schemas.PRODUCT_CHANGES)
+    raw = readers.read_csv_feed(run.spark, feed, schemas.PRODUCT_CHANGES, on_bad_record=run.bad_record)
+    run.keep_aside(raw, f"products/{run.batch_id}")
     batch = clean.clean_product_changes(raw, run.run_ts, run.on_bad_value)
-    scd2.publish_batch(run.spark, run.path("silver", "products"), run.batch_id, batch)
+    root = run.path("silver", "products")
+    scd2.publish_batch(run.spark, root, run.batch_id, batch, run.expire_on_insert)
+
+
+@job
+def compact_products(run: Run) -> None:
+    """Merge the stored history; published batches stay known."""
+    scd2.compact(run.spark, run.path("silver", "products"))
 
 
 # ---- single-aggregate marts ----
@@ -121,7 +167,7 @@ def silver_products(run: Run) -> None:
 @job
 def basic_sessions(run: Run) -> None:
     feed = run.path("bronze", "clickstream")
-    raw = readers.read_json_feed(run.spark, feed, schemas.CLICKSTREAM)
+    raw = readers.read_json_feed(run.spark, feed, schemas.CLICKSTREAM, on_bad_record=run.bad_record)
     clicks = clean.clean_clickstream(raw, run.on_bad_value)
     run.write_plain(basic.sessions(clicks), "gold", "clickstream_sessions")
 
@@ -204,6 +250,17 @@ def warehouse_tables(run: Run) -> None:
     run.write_plain(star.dim_customer(run.silver("customers")), "warehouse", "dim_customer")
 
 
+@job
+def warehouse_load(run: Run) -> None:
+    """One landed day of orders into the fact's folder of that day; a repeat replaces it."""
+    if run.day is None:
+        raise ValueError("warehouse-load needs a day")
+    orders = run.silver("orders")
+    own = (F.col("year") == run.day.year) & (F.col("month") == run.day.month) & (F.col("day") == run.day.day)
+    fact = star.fact_orders(orders.where(own))
+    writers.write_day(readers.with_run_day(fact, run.day), run.path("warehouse", "fact_orders_by_day"), run.day)
+
+
 @job
 def warehouse_reports(run: Run) -> None:
     """Both revenue reports, stored highest revenue first."""
@@ -226,19 +283,36 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--day", type=dt.date.fromisoformat)
     parser.add_argument("--batch-id")
     parser.add_argument("--on-bad-value", choices=schemas.BAD_VALUE_MODES, default="null")
+    parser.add_argument("--expire-on-insert", action="store_true")
     parser.add_argument(
         "--shuffle-gb", type=int, help="expected shuffle volume; sets the starting partition count"
     )
     args = parser.parse_args(argv)
+    # Scratch lies in the lake, where executors reach it, unless the cluster names a folder.
+    scratch = f"{args.root.rstrip('/')}/_scratch/{uuid.uuid4().hex}"
     spark = build_session(f"lakemart-{args.job}")
+    own_scratch = not spark.conf.get("spark.checkpoint.dir", None)
+    if own_scratch and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch)
     if args.shuffle_gb:
         cores = spark.sparkContext.defaultParallelism
         count = shuffle_partitions_for(args.shuffle_gb * 2**30, cores)
         spark.conf.set("spark.sql.shuffle.partitions", str(count))
     run = Run(
-        spark, args.root, args.as_of, args.run_ts, args.day, args.batch_id, args.on_bad_value
+        spark,
+        args.root,
+        args.as_of,
+        args.run_ts or dt.datetime.now(dt.timezone.utc).isoformat(),
+        args.day,
+        args.batch_id,
+        args.on_bad_value,
+        args.expire_on_insert,
     )
-    JOBS[args.job](run)
+    try:
+        JOBS[args.job](run)
+    finally:
+        if own_scratch:
+            remove(spark, scratch)
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakemart import schemas
 from lakemart.checks import testdata as td
 from lakemart.jobs import JOBS, Run, main
-from lakemart.operators import derive
+from lakemart.operators import derive, scd2
 from lakemart.plans import gold, star
 from lakemart.sources import readers, writers
 
@@ -51,8 +51,10 @@ def lake(spark):
     for _ in range(2):
         run("silver-products", batch_id="0001")
     for name in JOBS:
-        if name not in ("silver-orders", "silver-products"):
+        if name not in ("silver-orders", "silver-products", "warehouse-load"):
             run(name)
+    for day in (*DAYS, DAYS[1]):
+        run("warehouse-load", day=day)
     for name in JOBS:
         if name.startswith("gold"):
             run(name)
@@ -139,3 +141,38 @@ def test_command_line(spark, lake):
     assert readers.read_table(spark, f"{lake}/gold/top_products").count() > 0
     with pytest.raises(SystemExit):
         main(["no-such-job", "--root", lake])
+
+
+def test_fact_by_day_equals_the_rebuilt_one(spark, lake):
+    by_day = readers.read_table(spark, f"{lake}/warehouse/fact_orders_by_day")
+    whole = readers.read_table(spark, f"{lake}/warehouse/fact_orders")
+    rows = [sorted(map(str, d.select(*whole.columns).collect())) for d in (by_day, whole)]
+    assert rows[0] == rows[1] and rows[0]
+    one = by_day.where((F.col("year") == DAYS[0].year) & (F.col("month") == DAYS[0].month) & (F.col("day") == DAYS[0].day))
+    assert "PartitionFilters: [isnotnull(year" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rerun_with_nothing_empties_its_partition_only(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    rows = spark.createDataFrame([(1, 2024, 5, 6), (2, 2024, 5, 6)], "x int, year int, month int, day int")
+    other = spark.createDataFrame([(3, 2024, 5, 7)], rows.schema)
+    writers.write_gold(rows, path, dt.date(2024, 5, 6))
+    writers.write_gold(other, path, dt.date(2024, 5, 7))
+    writers.write_gold(rows.limit(0), path, dt.date(2024, 5, 6))
+    assert [r.x for r in readers.read_table(spark, path).collect()] == [3]
+    with pytest.raises(Exception, match="not of 2024-05-08"):
+        writers.write_gold(other, path, dt.date(2024, 5, 8))
+
+
+def test_two_current_products_stop_the_marts(spark, tmp_path):
+    run = Run(spark, str(tmp_path), run_ts=RUN_TS)
+    current = td.products(spark, SF).limit(1)
+    stored = scd2.empty_history(spark).unionByName(
+        current.select(
+            *[F.col(f.name).cast(f.dataType) if f.name in current.columns else F.lit(None).cast(f.dataType).alias(f.name)
+              for f in schemas.PRODUCT_HISTORY.fields]).withColumn("is_current", F.lit(True)))
+    writers.write_table(stored.union(stored), str(tmp_path / "silver/products/batch=1"), "overwrite", ["is_current"])
+    (tmp_path / "silver/products/_published").mkdir()
+    (tmp_path / "silver/products/_published/1").touch()
+    with pytest.raises(ValueError, match="several current versions"):
+        run.products()
