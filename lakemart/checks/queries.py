@@ -63,7 +63,10 @@ def revenue_by_category(spark, sf_dir):
 
 @query
 def revenue_by_month_category(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
+    """Fact and calendar stored first, as the warehouse job does: the lines are read once."""
+    path = scratch_dir(spark) + "/fact_orders"
+    writers.write_table(_fact(spark, sf_dir), path, "overwrite")
+    fact = readers.read_table(spark, path)
     return star.revenue_by_month_category(fact, _dim_product(spark, sf_dir), star.dim_date(fact))
 
 
@@ -162,12 +165,14 @@ def gold_inventory_health(spark, sf_dir):
 
 @query
 def gold_product_performance(spark, sf_dir):
+    """In the form that the job runs: the products' totals settled once."""
     return gold.gold_product_performance(
         td.products(spark, sf_dir),
         td.orders(spark, sf_dir),
         td.raw_movements(spark, sf_dir),
         td.AS_OF,
         td.RUN_TS,
+        settle_totals=True,
     )
 
 
