@@ -123,11 +123,11 @@ def scan(
     classes = sorted({length_class(len(tokens_of(t))) for t in templates.values()})
     held = F.array(*map(F.lit, words))
     likely = docs.select(F.col("doc_id"), F.lower(F.col("text").cast("string")).alias("text")).where(
-        F.col("text").rlike("|".join(words)))
+        F.col("text").rlike(f"(?<![a-z0-9])(?:{'|'.join(words)})(?![a-z0-9])"))
     tokens = F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0))
     placed = likely.select("doc_id", F.xxhash64("text").alias("body"), tokens.alias("tokens")).withColumn(
         "at", F.filter(F.sequence(F.lit(0), F.size("tokens") - 1), lambda p: F.array_contains(
-            held, F.element_at("tokens", p + 1)))).where(F.size("at") > 0)
+            held, F.element_at("tokens", p + 1))))
 
     def windows(size: int) -> Column:
         """Numbers of the windows of one class that hold an anchor."""
@@ -136,12 +136,13 @@ def scan(
             F.filter(F.array_distinct(both), lambda i: i >= 0),
             lambda i: F.struct(F.lit(size).alias("class"), i.alias("window")))
 
-    cut = placed.withColumn("w", F.explode(F.concat(*map(windows, classes)))).select(
+    # Outer, and no filter on computed arrays: a filter that moves down would
+    # spell them out inside its own lambda and compute them once an element.
+    cut = placed.withColumn("w", F.explode_outer(F.concat(*map(windows, classes)))).where("w IS NOT NULL").select(
         "doc_id", "body", "w.class", "w.window",
         F.slice("tokens", (F.col("w.window") * F.col("w.class") + 1).cast("int"), (2 * F.col("w.class")).cast("int")).alias("piece"))
-    shingled = cut.select("doc_id", "body", "class", "window", _shingles(F.col("piece"), width).alias("shingles")).where(
-        F.size("shingles") > 0)
-    banded = shingled.select("*", F.posexplode(_signature(F.col("shingles"))).alias("band", "value"))
+    shingled = cut.select("doc_id", "body", "class", "window", _shingles(F.col("piece"), width).alias("shingles"))
+    banded = shingled.select("*", F.posexplode_outer(_signature(F.col("shingles"))).alias("band", "value"))
     # As many rows as templates times bands, whatever the corpus.
     near = banded.join(
         F.broadcast(template_table(spark, templates, width)),

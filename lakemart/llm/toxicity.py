@@ -205,12 +205,11 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, sample: Sample = Sampl
                 F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n1"))
             .toPandas()
         )
-        both = {w: (a, b) for w, a, b in counted.groupby("word")[["n0", "n1"]].sum().itertuples()}
         x, y = [], []
         for half in (False, True):
             own = counted[counted.half == half]
-            model = kneser_ney(dict(zip(own.word, zip(own.n0, own.n1))))
-            shared = taught.sparkSession.sparkContext.broadcast(model)
+            shared = taught.sparkSession.sparkContext.broadcast(
+                kneser_ney(dict(zip(own.word, zip(own.n0, own.n1)))))
 
             def features(batches, shared=shared):
                 for batch in batches:
@@ -222,7 +221,11 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, sample: Sample = Sampl
                 features, "toxic int, f0 double, f1 double, f2 double").toPandas()
             x.append(got[["f0", "f1", "f2"]].to_numpy())
             y.append(got.toxic.to_numpy(np.float64))
-        model = kneser_ney(both)
+            shared.destroy()
+        both = counted.groupby("word")[["n0", "n1"]].sum()
+        del counted
+        model = kneser_ney(dict(zip(both.index, zip(both.n0, both.n1))))
+        del both
         x, y = np.concatenate(x), np.concatenate(y)
         model.weights = logistic(x, y) if len(set(y)) == 2 else (0.0, 0.0, 0.0, math.log(3.0))
         return model
