@@ -42,9 +42,9 @@ SCORED = "doc_id long, held_out boolean, score double, predicted int"
 class Sample:
     """Bound of the labelled sample: rows and characters of each class."""
 
-    toxic: int = 3_000
-    ordinary: int = 6_000
-    chars: int = 24_000_000
+    toxic: int = 2_000
+    ordinary: int = 4_000
+    chars: int = 16_000_000
 
 
 @dataclass
