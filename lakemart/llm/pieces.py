@@ -50,6 +50,7 @@ class Lattice(dict):
         self.byte_ids = {int(model.id_to_piece(i)[3:5], 16): i for i in ids if model.is_byte(i)}
         self.piece = {
             model.id_to_piece(i): (model.get_score(i), i) for i in ids if i not in special and not model.is_byte(i)}
+        self.beginnings = {p[:k] for p in self.piece for k in range(1, len(p))}
         self.longest = max(map(len, self.piece))
         self.unknown = min(s for s, _ in self.piece.values()) - 10.0
         spell = {i: bytes([b]) for b, i in self.byte_ids.items()}
@@ -63,10 +64,13 @@ class Lattice(dict):
         """Ends and scores of the pieces from ``start``, or of the bare character."""
         one = False
         for end in range(start + 1, min(start + self.longest, len(text)) + 1):
-            found = self.piece.get(text[start:end])
+            part = text[start:end]
+            found = self.piece.get(part)
             if found:
                 one |= end == start + 1
                 yield end, found[0]
+            elif part not in self.beginnings:
+                break
         if not one:
             yield start + 1, self.unknown
 
