@@ -58,33 +58,34 @@ class Lattice(dict):
         self.spelled = [spell.get(i, b"") for i in ids]
         #: No piece runs over the start of a word.
         self.parted = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.piece)
-        self.words = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-
-    def steps(self, text: str, start: int) -> Iterator[tuple[int, float]]:
-        """Ends and scores of the pieces from ``start``, or of the bare character."""
-        one = False
-        for end in range(start + 1, min(start + self.longest, len(text)) + 1):
-            part = text[start:end]
-            found = self.piece.get(part)
-            if found:
-                one |= end == start + 1
-                yield end, found[0]
-            elif part not in self.beginnings:
-                break
-        if not one:
-            yield start + 1, self.unknown
+        #: Nor over a line break, if none is in a piece.
+        self.lines = not any("\n" in p for p in self.piece)
+        rest = f"[^{MARK}\n]" if self.lines else f"[^{MARK}]"
+        self.words = re.compile(f"{MARK}+{rest}*|{rest}+" + ("|\n" if self.lines else ""))
 
     def forward(self, text: str, start: int, until: int) -> tuple[list[float], list[int]]:
         """Best score and last start at every place reached by pieces that start before ``until``."""
-        best = [_NONE] * (min(until + self.longest, len(text)) + 1)
+        piece, beginnings, longest = self.piece.get, self.beginnings, self.longest
+        size = len(text)
+        best = [_NONE] * (min(until + longest, size) + 1)
         last = [-1] * len(best)
         best[start] = 0.0
         for at in range(start, until):
-            if best[at] == _NONE:
+            score = best[at]
+            if score == _NONE:
                 continue
-            for end, gain in self.steps(text, at):
-                if best[at] + gain > best[end]:
-                    best[end], last[end] = best[at] + gain, at
+            one = False
+            for end in range(at + 1, min(at + longest, size) + 1):
+                part = text[at:end]
+                found = piece(part)
+                if found is not None:
+                    one |= end == at + 1
+                    if score + found[0] > best[end]:
+                        best[end], last[end] = score + found[0], at
+                elif part not in beginnings:
+                    break
+            if not one and score + self.unknown > best[at + 1]:
+                best[at + 1], last[at + 1] = score + self.unknown, at
         return best, last
 
     def trace(self, text: str, start: int, end: int, last: list[int]) -> list[int]:
@@ -109,7 +110,9 @@ class Lattice(dict):
         """Places in ``text[:length]`` that no piece runs over."""
         if not self.parted:
             return []
-        return [i for i in range(1, length) if text[i] == MARK and text[i - 1] != MARK]
+        return [
+            i for i in range(1, length) if text[i] == MARK and text[i - 1] != MARK
+            or self.lines and "\n" in text[i - 1 : i + 1]]
 
     def whole(self, text: str) -> tuple[bytes, float]:
         """Ids and score of a whole text."""
