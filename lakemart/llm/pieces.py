@@ -34,7 +34,7 @@ CHUNK = 16_384
 BLOCK = 64
 MARK = "▁"
 ENCODED = "doc_id long, ids array<int>, score double"
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 300_000
 _NONE = float("-inf")
 
 
