@@ -105,3 +105,13 @@ def test_lookup_of_a_repeated_key(spark):
         derive.lookup(facts, twice, "key", ["n"]).collect()
     got = derive.lookup(facts, twice, "key", ["n", "t"], on_repeated="first").collect()
     assert [tuple(r) for r in got] == [("k", 1, "z")]
+
+
+def test_fact_loaded_by_day_keeps_orders_without_a_time(spark, monkeypatch):
+    from lakemart.checks import queries
+
+    fact = spark.createDataFrame(
+        [(1, "1997-12-31 00:00:00"), (2, "1998-01-01 00:00:00"), (3, None)], "order_id long, at string"
+    ).select("order_id", F.col("at").cast("timestamp").alias("order_timestamp"))
+    monkeypatch.setattr(queries, "_fact", lambda *_: fact)
+    assert sorted(r.order_id for r in queries.fact_loaded_by_day(spark, "").collect()) == [1, 2, 3]
