@@ -19,8 +19,8 @@ from lakemart.llm.common import staged, table
 from lakemart.llm.queries import BYTE_BPE, BYTE_BPE_RANKS, toxicity_model
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document goes when it is likelier toxic than not.
-REJECT = 0.5
+#: A document goes when op1 predicts it toxic.
+REJECT = toxicity.THRESHOLD
 _WORD = re.compile(r"\S+")
 
 

@@ -42,9 +42,9 @@ SCORED = "doc_id long, held_out boolean, score double, predicted int"
 class Sample:
     """Bound of the labelled sample: rows and characters of each class."""
 
-    toxic: int = 2_000
-    ordinary: int = 4_000
-    chars: int = 16_000_000
+    toxic: int = 3_000
+    ordinary: int = 6_000
+    chars: int = 24_000_000
 
 
 @dataclass
@@ -149,7 +149,12 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, ...
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, keep: Column, sample: Sample) -> DataFrame:
-    """Bounded labelled documents: (toxic, half, text), the smallest id hashes of each class."""
+    """Bounded labelled documents: (toxic, half, text), the smallest id hashes of each class.
+
+    Texts of over a hundredth of the characters come after all others, and the
+    text at the limit is cut to what is left of it: no text, however long,
+    takes the place of its class.
+    """
     known = (
         labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
         .where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & keep)
@@ -162,15 +167,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, keep: Column, sample: Sa
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    order = Window.partitionBy("toxic").orderBy("h", "doc_id", F.xxhash64("text"))
+    order = Window.partitionBy("toxic").orderBy("giant", "h", "doc_id", F.xxhash64("text"))
+    size = F.length("text")
     # The window is over the bounded sample only.
     return (
-        texts.join(chosen, "doc_id")
+        texts.join(chosen, "doc_id").withColumn("giant", size > sample.chars // 100)
         .withColumn("place", F.row_number().over(order))
-        .withColumn("chars", F.sum(F.length("text")).over(
-            order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .where((F.col("place") <= max(sample.ordinary, sample.toxic)) & (F.col("chars") <= sample.chars))
-        .select("toxic", (F.col("h") % 2 != 0).alias("half"), "text")
+        .withColumn("left", sample.chars - F.sum(size).over(
+            order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + size)
+        .where((F.col("place") <= max(sample.ordinary, sample.toxic)) & (F.col("left") > 0))
+        .select("toxic", (F.col("h") % 2 != 0).alias("half"),
+                F.substring("text", F.lit(1), F.col("left").cast("int")).alias("text"))
     )
 
 
@@ -200,16 +207,21 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, sample: Sample = Sampl
             return model
         counted = (
             taught.mapInArrow(_count, "toxic int, half boolean, word string, n long")
-            .groupBy("word", "half").agg(
-                F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("n0"),
-                F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n1"))
-            .toPandas()
+            .groupBy("word").agg(*[
+                F.sum(F.when((F.col("toxic") == kind) & (F.col("half") == half), F.col("n")).otherwise(0)).alias(f"n{kind}{int(half)}")
+                for half in (False, True) for kind in (0, 1)])
+            .toArrow()
         )
+        # Words stay in Arrow's memory; one model's at a time become Python's.
+        word = counted.column("word")
+        n = np.stack([c.to_numpy() for c in counted.columns[1:]], axis=1)
+        del counted
         x, y = [], []
         for half in (False, True):
-            own = counted[counted.half == half]
+            own = n[:, 2:] if half else n[:, :2]
+            some = own.any(axis=1)
             shared = taught.sparkSession.sparkContext.broadcast(
-                kneser_ney(dict(zip(own.word, zip(own.n0, own.n1)))))
+                kneser_ney(dict(zip(word.filter(pa.array(some)).to_pylist(), own[some].tolist()))))
 
             def features(batches, shared=shared):
                 for batch in batches:
@@ -222,10 +234,8 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, sample: Sample = Sampl
             x.append(got[["f0", "f1", "f2"]].to_numpy())
             y.append(got.toxic.to_numpy(np.float64))
             shared.destroy()
-        both = counted.groupby("word")[["n0", "n1"]].sum()
-        del counted
-        model = kneser_ney(dict(zip(both.index, zip(both.n0, both.n1))))
-        del both
+        model = kneser_ney(dict(zip(word.to_pylist(), (n[:, :2] + n[:, 2:]).tolist())))
+        del word, n
         x, y = np.concatenate(x), np.concatenate(y)
         model.weights = logistic(x, y) if len(set(y)) == 2 else (0.0, 0.0, 0.0, math.log(3.0))
         return model

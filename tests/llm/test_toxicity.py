@@ -53,3 +53,29 @@ def test_corner_cases(spark):
     rows = toxicity.score(docs, toxicity.fit(docs, taught, F.lit(True)), F.lit(False)).collect()
     assert len(rows) == 4 and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score(docs.limit(0), model, F.lit(False)).count() == 0
+
+
+def test_giant_texts_take_no_class_away(spark):
+    """Whichever of a class's texts are giants, the others teach; a class of one giant teaches by its beginning."""
+    sample = toxicity.Sample(toxic=50, ordinary=50, chars=20_000)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    first = labels.orderBy(F.xxhash64("doc_id")).select("doc_id").collect()
+    giants = {r.doc_id for r in first[:4]}
+    rows = [(i, ("bad awful " if i % 2 else "good fine ") * (5_000 if i in giants else 3)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    taught = toxicity.training_sample(docs, labels, F.lit(True), sample).toPandas()
+    short = taught[taught.text.str.len() < 100]
+    assert len(short) == 40 - len(giants) and set(short.toxic) == {0, 1}
+    assert taught.groupby("toxic").text.apply(lambda t: t.str.len().sum()).max() <= sample.chars
+    model = toxicity.fit(docs, labels, F.lit(True), sample)
+    assert model.prior is None
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model, F.lit(False)).collect()}
+    assert min(s for i, s in scores.items() if i % 2) > max(s for i, s in scores.items() if not i % 2)
+    one = docs.where(F.col("doc_id").isin(*giants) | (F.col("doc_id") % 2 == 0))
+    assert set(toxicity.training_sample(one, labels, F.lit(True), sample).toPandas().toxic) == {0, 1}
+
+
+def test_one_threshold_for_the_pipeline():
+    import corpus_pipeline
+
+    assert corpus_pipeline.REJECT == toxicity.THRESHOLD
