@@ -1,7 +1,10 @@
 """Main text of web pages by composite text density.
 
 Each page is parsed to a node tree. Elements that can't be article text by
-their kind (scripts, navigation, forms, adverts, comments ...) are taken out.
+their kind (scripts, navigation, forms ...) are taken out, then those that a
+name marks (adverts, related pages, comments ...): containers with a small
+share of the page's text, never headings, paragraphs or what holds the densest
+subtree. Comments go whatever their share, as long as other text is left.
 Every remaining node gets its composite density: characters per tag, adjusted
 by the share of link characters and link tags and by the page's link share.
 The subtree whose children's densities sum highest is the article; the lowest
@@ -50,21 +53,28 @@ DROPPED_NAMES = set(
     "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored promo promotion"
     " banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe"
     " subscription sidebar aside widget widgets related recommended recommendations share sharing social"
-    " breadcrumb breadcrumbs nav navbar navigation menu topbar footer masthead comment comments commentlist"
-    " disqus replies reply respond reactions pagination pager toolbar login signup search skip".split()
+    " breadcrumb breadcrumbs nav navbar navigation menu topbar footer masthead"
+    " reactions pagination pager toolbar login signup search skip".split()
 )
+COMMENTS = set("comment comments commentlist disqus replies reply respond".split())
+#: A name with one of these tells of another element: has-sidebar, comments-open.
+MODIFIERS = set("has with without no is open closed enabled disabled".split())
+#: Elements that no name takes out.
+PROSE = set("html body main p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+SHARE = 0.3
+OTHER_CHARS = 50
 HEADINGS = {"h1", "article", "main"}
 _NAMES = re.compile(r"[a-z0-9]+").findall
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden").search
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "named", "chars", "link_chars", "tags",
+    __slots__ = ("tag", "parent", "children", "drop", "named", "anchor", "talk", "chars", "link_chars", "tags",
                  "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
-        self.drop = self.named = False
+        self.drop = self.named = self.anchor = self.talk = False
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -110,7 +120,15 @@ class Tree(HTMLParser):
         for name, value in attrs:
             value = (value or "").lower()
             if name in ("class", "id"):
-                node.named |= not DROPPED_NAMES.isdisjoint(_NAMES(value))
+                if node.tag in PROSE:
+                    continue
+                for parts in map(_NAMES, value.split()):
+                    if MODIFIERS.isdisjoint(parts):
+                        node.talk |= not COMMENTS.isdisjoint(parts)
+                        if not DROPPED_NAMES.isdisjoint(parts):
+                            # A section's id is a link's aim as a rule, made from its heading.
+                            node.anchor |= node.tag == "section" and name == "id"
+                            node.named |= node.tag != "section" or name == "class"
             elif name == "role":
                 node.drop |= value.strip() in DROPPED_ROLES
             elif name == "hidden" or name == "aria-hidden" and value == "true":
@@ -159,12 +177,29 @@ def _measure(root: Node) -> list[Node]:
     return order
 
 
-def _without_boilerplate(root: Node) -> None:
+def _plain(node: Node) -> int:
+    return node.chars - node.link_chars
+
+
+def _path(node: Node, root: Node) -> list[Node]:
+    path = [node]
+    while path[-1] is not root:
+        path.append(path[-1].parent)
+    return path
+
+
+def _best(order: list[Node], root: Node) -> Node:
+    """The node whose children's densities sum highest."""
+    best = max((n for n in order if n.tag not in VOID), key=lambda n: n.total)
+    return best if best.total > 0 else root
+
+
+def _without_boilerplate(root: Node, share: float) -> None:
     """Take out elements that their kind, role or name marks as no article text."""
     order = _in_order(root)
     headed: set[int] = set()
     for node in reversed(order):
-        if node.tag in HEADINGS or any(isinstance(c, Node) and id(c) in headed for c in node.children):
+        if node.tag in HEADINGS and not node.talk or any(isinstance(c, Node) and id(c) in headed for c in node.children):
             headed.add(id(node))
     inside: set[int] = set()
     for node in order:
@@ -175,17 +210,31 @@ def _without_boilerplate(root: Node) -> None:
         within = id(node) in inside
         if node.tag in ("html", "body", "article", "main"):
             return node.drop and node.tag in ("article", "main")
-        if node.tag == "form" and id(node) in headed:
+        if node.tag == "form" and not node.drop and (id(node) in headed or 2 * _plain(node) > _plain(root)):
             return False  # a form around the whole page
         if node.drop or node.tag in DROPPED or node.tag == "header" and not within:
             return True
-        if node.named and id(node) not in headed:
-            return True
         return (
             node.tag in ("ul", "ol", "table") and node.link_tags > 2 and node.link_chars > 0.9 * node.chars)
 
     for node in order:
         node.children = [c for c in node.children if isinstance(c, str) or not gone(c)]
+    order = _measure(root)
+    talk = [n for n in order if n.talk and id(n) not in headed and _plain(root) - _plain(n) >= OTHER_CHARS]
+    for node in talk:
+        node.parent.children = [c for c in node.parent.children if c is not node]
+    if not any(n.named or n.anchor for n in order):
+        return
+    order = _densities(root, share)
+    held = {id(n) for n in _path(_best(order, root), root)}
+
+    def marked(node: Node) -> bool:
+        if id(node) in headed or id(node) in held or node.tag in ("article", "main"):
+            return False
+        return node.named and _plain(node) <= SHARE * _plain(root) or node.anchor and node.link_chars > 0.5 * node.chars
+
+    for node in order:
+        node.children = [c for c in node.children if isinstance(c, str) or not marked(c)]
 
 
 def _densities(root: Node, share: float) -> list[Node]:
@@ -225,16 +274,12 @@ def main_text(html: str) -> str:
     root = next((n for n in _in_order(tree.root) if n.tag == "body"), tree.root)
     _measure(root)
     share = root.link_chars / max(root.chars, 1)
-    _without_boilerplate(root)
+    _without_boilerplate(root, share)
     order = _densities(root, share)
     if not root.chars:
         return ""
-    best = max((n for n in order if n.tag not in VOID), key=lambda n: n.total)
-    if best.total <= 0:
-        best = root
-    path = [best]
-    while path[-1] is not root:
-        path.append(path[-1].parent)
+    best = _best(order, root)
+    path = _path(best, root)
     article = next((n for n in path if n.tag in ("article", "main")), None)
     if article is not None:
         return _text([article])

@@ -51,3 +51,22 @@ def test_corner_cases(spark):
     assert len(got) == 8 and by[(1, 0)] == by[(2, 0)] == by[(5, 0)] == ""
     assert by[(None, 5)] == "short" and by[(3, 4)] == "deep" and by[(4, 16)] == "no markup at all"
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+MORE = "".join(f"<p>Paragraph {i} of the story goes on with some more words.</p>" for i in range(4))
+ALL = f"{TEXT} " + " ".join(f"Paragraph {i} of the story goes on with some more words." for i in range(4))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article>{BODY}<h2 id='related-work'>Related work</h2>{MORE}</article>", ALL.replace(" Paragraph 0", " Related work Paragraph 0")),
+    (f"<article>{BODY}<section id=search>{MORE}</section></article>", ALL),
+    (f"<article><p class=notice>Mind this.</p>{BODY}{MORE}</article>", f"Mind this. {ALL}"),
+    (f"<body><div class='content has-sidebar'>{BODY}{MORE}</div></body>", ALL),
+    (f"<body><div class=sidebar>{BODY}{MORE}</div></body>", ALL),
+    (f"<body><form action=x><div>{BODY}{MORE}</div></form></body>", ALL),
+    (f"<article>{BODY}{MORE}<div class=related>Read this too</div></article>", ALL),
+    (f"<main><article>{BODY}{MORE}</article><div class=comments><article class=comment><p>I liked it a lot.</p></article></div></main>", ALL),
+    (f"<article>{BODY}{MORE}<article class='comment reply'><p>{'I liked it. ' * 60}</p></article></article>", ALL),
+])
+def test_names_take_no_article_text(page, text):
+    assert main_text(page) == text
