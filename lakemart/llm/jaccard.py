@@ -1,12 +1,13 @@
-"""N-gram Jaccard join through a MinHash LSH forest.
-
-Each text's word shingles give ``trees`` labels of ``depth`` MinHash values, the
-paths of a prefix trie per tree. Matched prefixes are shortened from the full
-depth until a pair at the wanted similarity shares one in some tree with the
-target probability; texts that share such a prefix are candidates. A tree's
-rows arrive sorted by prefix. A text is compared with the leaders of its prefix
-only, and one that almost equals a leader follows it, already inside the
-reading task, so that a group of copies of any size costs one comparison a copy.
+"""N-gram Jaccard join through MinHash banding.
+
+Each text's word shingles give ``trees`` bands of MinHash values. A band's
+length is fixed by the setting: the most values at which a pair at the wanted
+similarity shares some band with the target probability. This replaced an LSH
+forest: one limit holds for all pairs, so nothing is left to adapt to the data.
+Texts that share a band are candidates. A band's rows arrive sorted by its
+hash. A text is compared with the leaders of its band only, and one that almost
+equals a leader follows it, already inside the reading task, so that a group of
+copies of any size costs one comparison a copy.
 
 Candidates whose signatures agree well enough form families. Within a family
 the exact Jaccard similarity of all pairs is computed in blocks from the shared
