@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chaining, graph_dedup, html_text, jaccard, license_scan, packing, pieces, ppm, toxicity, tree_search
+from lakemart.llm import (
+    chaining,
+    decontaminate,
+    graph_dedup,
+    html_text,
+    jaccard,
+    license_scan,
+    packing,
+    periods,
+    pieces,
+    ppm,
+    ranked_search,
+    toxicity,
+    tree_search,
+)
 from lakemart.llm.common import remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,6 +77,18 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.report(periods.with_planted(table(spark, sf_dir, "documents")))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {
     "op1_toxicity": op1_toxicity,
     "op2_ppm": op2_ppm,
@@ -74,6 +100,13 @@ REGISTRY = {
     "op8_packing": op8_packing,
     "op9_ann": op9_ann,
     "op10_jaccard": op10_jaccard,
+    "op11_decontaminate": op11_decontaminate,
+    "op12_periods": op12_periods,
+    "op13_search": op13_search,
 }
 #: Queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {"op7_licenses": license_scan.oracle()}
+ORACLE: dict[str, str] = {
+    "op7_licenses": license_scan.oracle(),
+    "op11_decontaminate": decontaminate.oracle(),
+    "op13_search": ranked_search.oracle(),
+}

@@ -1,0 +1,114 @@
+import re
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lakemart.llm import decontaminate
+from lakemart.llm.queries import ORACLE, op11_decontaminate
+from lakemart.llm.terms import PATTERN, terms_of
+
+COLUMNS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+
+
+def by_sql(path):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}/{t}.parquet{'/*.parquet' if not path.startswith('/root') else ''}')")
+    return sorted(con.execute(f"SELECT {', '.join(COLUMNS)} FROM ({ORACLE['op11_decontaminate']})").fetchall(), key=str)
+
+
+def plain(words, items, window):
+    """Hit words and items by comparing all windows."""
+    hit, found = set(), set()
+    for name, item in items:
+        k = min(window, len(item))
+        grams = {tuple(item[i : i + k]) for i in range(len(item) - k + 1)} if k else set()
+        for i in range(len(words) - k + 1):
+            if tuple(words[i : i + k]) in grams:
+                hit.update(range(i, i + k))
+                found.add(name)
+    return hit, found
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_against_sql(spark, sf):
+    path = f"/root/testdata/{sf}"
+    got = sorted((tuple(r) for r in op11_decontaminate(spark, path).select(*COLUMNS).collect()), key=str)
+    assert got == by_sql(path) and any(r[5] for r in got)
+
+
+def test_terms_are_those_of_the_pattern():
+    text = "Ab-cD éÉ_x9\x00y\t12·3 \U0001F600z ÄÖ"
+    folded = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    assert [w.decode() for w in terms_of(text.encode())] == re.findall(PATTERN, folded)
+
+
+WORDS = st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=14)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(WORDS, max_size=4), WORDS, st.integers(1, 5))
+def test_automaton_against_all_windows(items, words, window):
+    named = [(str(i), w) for i, w in enumerate(items)]
+    spans, found = decontaminate.ItemAutomaton(named, window).scan(words)
+    hit, want = plain(words, named, window)
+    assert {i for a, b in spans for i in range(a, b)} == hit and found == want
+    assert all(a < b for a, b in spans) and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_corner_cases_against_sql(spark, tmp_path):
+    passage = "one two three four five six seven eight nine ten eleven twelve"
+    items = [("b", passage, 0), ("a", passage, 0), ("s", "Short ITEM", 0), ("e", "", 0), ("n", None, 0), ("d", "--", 0),
+             ("b", "another text of the same item with more than ten words in it", 0), ("r", "x " * 40, 0)]
+    docs = [(1, None, 0), (2, "", 0), (3, passage.upper(), 0), (3, passage.upper(), 0), (4, passage[:40], 0),
+            (5, "short, item", 0), (6, "short x item", 0), (None, "and " + passage, 0), (7, "x " * 9, 0), (8, "x " * 10, 0),
+            (9, "filler word " * 60_000 + passage, 0), (10, "éa short item é", 0), (11, "shorté item", 0)]
+    spark.createDataFrame(items, "item_id string, text string, n_hit int").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string, n_hit int").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((tuple(r) for r in op11_decontaminate(spark, str(tmp_path)).collect()), key=str)
+    assert got == by_sql(str(tmp_path))
+    read = lambda t: spark.read.parquet(f"{tmp_path}/{t}.parquet")
+    # Small shards and pieces give the same result in several passes.
+    one = decontaminate.matches(read("documents"), read("benchmark")).collect()
+    many = decontaminate.matches(read("documents"), read("benchmark"), shard_words=30).collect()
+    assert sorted(map(str, one)) == sorted(map(str, many))
+    for d, i in ((True, False), (False, True)):
+        found = decontaminate.report(read("documents").limit(0) if d else read("documents"),
+                                     read("benchmark").limit(0) if i else read("benchmark"))
+        assert found.where("contaminated").count() == 0 and found.count() == (0 if d else len(docs))
+
+
+def test_items_without_id_hit_but_are_not_listed(spark):
+    items = spark.createDataFrame([(None, "hot potato")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a hot potato")], "doc_id long, text string")
+    row = decontaminate.report(docs, items).first()
+    assert (row.n_hit, row.n_items, row.contaminated) == (2, 0, True)
+
+
+def test_long_items_in_pieces(spark, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 7)
+    cut = decontaminate._cut(10)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["i"]), pa.array([" ".join(words)])], ["item_id", "text"])
+    pieces = [(i, w.split()) for b in cut(iter([batch])) for i, w in zip(*(c.to_pylist() for c in b.columns[:2]))]
+    made = decontaminate.ItemAutomaton(pieces, 10)
+    assert len(pieces) > 20
+    for at in range(0, 190):
+        spans, found = made.scan([w.encode() for w in words[at : at + 10]])
+        assert spans == [(0, 10)] and found == {"i"}
+
+
+def test_clean_removes_spans_and_covered_documents(spark):
+    passage = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    docs = spark.createDataFrame(
+        [(1, f"Before it, here: {passage}. After (é) more and more words stand here too."), (2, passage + " end"),
+         (3, None), (4, "Nothing here.")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in decontaminate.clean(docs, items).collect()}
+    assert got == {1: "Before it, here: After (é) more and more words stand here too.", 3: "", 4: "Nothing here."}
+    kept = {r.doc_id: r.text for r in decontaminate.clean(docs, items, max_words=10, max_share=1.0).collect()}
+    assert kept[2] == passage + " end" and len(kept) == 4
