@@ -217,7 +217,7 @@ def _search_shard(spark, source: DataFrame, pairs: DataFrame, top: int) -> DataF
     ids, terms, rows = _shard_items(pairs)
     vectors = staged(source.mapInArrow(
         _vectors(spark.sparkContext.broadcast(terms)), "doc_id long, n long, vector binary"))
-    whole = vectors.agg(F.count_if("n > 0").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
+    whole = vectors.agg(F.count_if(F.col("n") > 0).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
     held = np.zeros(max(1, len(terms)), np.int64)
     counts = vectors.where("length(vector) > 0").select("vector").mapInArrow(_holders, "term long, df long")
     for term, df in counts.groupBy("term").agg(F.sum("df")).collect():  # no more rows than item terms
