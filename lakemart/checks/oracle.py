@@ -603,3 +603,66 @@ ORACLE |= {
     "fact_loaded_by_day": ORACLE["fact_orders"],
     "fact_as_table": ORACLE["fact_orders"],
 }
+
+_EVENT_ORDER = ", ".join(
+    f"{c} NULLS FIRST" for c in [
+        "source_updated_at", *[c.strip() for c in _HISTORY_COLUMNS.split(",") if c.strip() != "product_id"], "operation"])
+_REPLAYED = _sql(
+    f"""
+    , events AS (
+        SELECT {_HISTORY_COLUMNS}, operation, source_updated_at, min(processed_timestamp) AS processed_timestamp
+        FROM (SELECT * FROM first_load UNION ALL BY NAME SELECT * FROM change_events)
+        WHERE product_id IS NOT NULL AND operation IS NOT NULL GROUP BY ALL),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY {_EVENT_ORDER}) AS n FROM events),
+    ends AS (
+        SELECT v.product_id, v.n, min(c.n) AS end_n FROM numbered v
+        JOIN numbered c ON c.product_id = v.product_id AND c.n > v.n AND c.operation IN ('U', 'D')
+        GROUP BY v.product_id, v.n)
+    SELECT {_qualified('v')}, v.source_updated_at AS effective_from, c.source_updated_at AS effective_to,
+           e.end_n IS NULL AS is_current, v.processed_timestamp
+    FROM numbered v
+    LEFT JOIN ends e ON e.product_id = v.product_id AND e.n = v.n
+    LEFT JOIN numbered c ON c.product_id = v.product_id AND c.n = e.end_n
+    WHERE v.operation IN ('I', 'U')""",
+    "first_load",
+    "change_events",
+)
+ORACLE |= {
+    "customers_by_landing": ORACLE["clean_customers"],
+    "inventory_by_landing": ORACLE["clean_inventory"],
+    "scd2_replayed": _REPLAYED,
+    "scd2_late_batches": _REPLAYED,
+    "funnel_from_bitmaps": ORACLE["gold_conversion_funnel"],
+    "daily_sales_refreshed": ORACLE["gold_daily_sales"],
+    "customers_mixed_headers": _sql(
+        "SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 3 <> 2 THEN preferred_category END"
+        f" AS preferred_category), {RUN_TS} AS processed_timestamp FROM r_customers",
+        "r_customers",
+    ),
+    "revenue_of_fourth_quarters": _sql(
+        """
+        SELECT CAST(year(order_timestamp) AS INTEGER) AS year, monthname(order_timestamp) AS month_name, category,
+               CAST(sum(CAST(total_amount AS DECIMAL(10,2))) AS DOUBLE) AS revenue
+        FROM r_orders JOIN r_products USING (product_id) WHERE quarter(order_timestamp) = 4 GROUP BY ALL""",
+        "r_orders",
+        "r_products",
+    ),
+    "revenue_by_product_bucketed": ORACLE["top_products_basic"],
+    "checked_writes": _sql(
+        """
+        SELECT order_id, quantity, order_timestamp, count(*) OVER () AS rows_accepted,
+               'change,outside quantity,repeats' AS refused_for
+        FROM r_orders WHERE date_trunc('month', order_timestamp) = DATE '1998-03-01'""",
+        "r_orders",
+    ),
+    "orders_of_a_status_in_order": _sql(
+        """
+        SELECT order_id, order_status,
+               row_number() OVER w AS order_number,
+               CAST(lag(total_amount) OVER w AS DOUBLE) AS previous_amount
+        FROM r_orders
+        WINDOW w AS (PARTITION BY order_status ORDER BY order_timestamp NULLS FIRST, order_id NULLS FIRST)""",
+        "r_orders",
+    ),
+}

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from lakemart import schemas
 from lakemart.checks import testdata as td
-from lakemart.operators import clean, derive, scd2
-from lakemart.plans import basic, gold, star
+from lakemart.operators import blocks, clean, derive, landing, scd2
+from lakemart.plans import basic, gold, refresh, star
 from lakemart.session import scratch_dir, settle
 from lakemart.sources import readers, writers
 
@@ -438,3 +438,150 @@ def audited_write(spark, sf_dir):
         F.count(F.lit(1)).alias("rows_read"),
         F.lit(observation.get["rows"]).cast("bigint").alias("rows_written"),
     )
+
+
+# ------------------------------------------------- tables kept up by the landing
+
+
+@query
+def customers_by_landing(spark, sf_dir):
+    """The customers of ``clean_customers``, landing by landing, the newest first and one twice."""
+    root = scratch_dir(spark)
+    first = td.customers(spark, sf_dir).select(*schemas.CUSTOMERS.names)
+    moved = first.withColumn("city", F.concat(F.lit("moved from "), "city"))
+    _publish(first, root + "/bronze", "signup_date")
+    writers.publish_feed(writers.land_on(moved, F.lit(td.AS_OF).cast("date")), root + "/bronze")
+    raw = readers.read_csv_feed(spark, root + "/bronze")
+    newest = F.col("year") == 2001
+    for part in (newest, ~newest & (F.col("month") % 2 == 0), ~newest & (F.col("month") % 2 == 1), newest):
+        cleaned = clean.clean_customers(raw.where(part), td.RUN_TS)
+        landing.land(spark, root + "/silver", cleaned, "customer_id", buckets=16)
+    return landing.read_landed(spark, root + "/silver")
+
+
+@query
+def inventory_by_landing(spark, sf_dir):
+    """The movements of ``clean_inventory``, months out of order."""
+    root = scratch_dir(spark)
+    lines = td.table(spark, sf_dir, "lineitem")
+    _publish(td.raw_movements(spark, sf_dir, lines), root + "/bronze", "event_timestamp")
+    raw = readers.read_csv_feed(spark, root + "/bronze", schemas.INVENTORY)
+    odd = F.coalesce(F.col("month") % 2 == 1, F.lit(False))
+    for part in (odd, ~odd):
+        cleaned = clean.clean_inventory(raw.where(part), td.RUN_TS)
+        landing.land(spark, root + "/silver", cleaned, "inventory_event_id", ["event_timestamp"], buckets=16)
+    return landing.read_landed(spark, root + "/silver")
+
+
+@query
+def scd2_replayed(spark, sf_dir):
+    """The history that all change events lead to, with hot products cut along the time."""
+    events = clean.type_product_changes(td.first_product_load(spark, sf_dir), td.FIRST_LOAD).unionByName(
+        clean.type_product_changes(td.product_changes(spark, sf_dir), td.RUN_TS))
+    return scd2.replay(events, limit=40)
+
+
+@query
+def scd2_late_batches(spark, sf_dir):
+    """The same history from batches that land newest first, one of them twice."""
+    root = scratch_dir(spark)
+    late = clean.type_product_changes(td.product_changes(spark, sf_dir), td.RUN_TS)
+    early = clean.type_product_changes(td.first_product_load(spark, sf_dir), td.FIRST_LOAD)
+    newer = F.coalesce(F.col("source_updated_at") >= F.lit("1996-01-01").cast("timestamp"), F.lit(False))
+    for batch in (late.where(newer), early, late.where(~newer), early):
+        scd2.land_changes(spark, root, batch, buckets=8)
+    return scd2.read_replayed(spark, root)
+
+
+@query
+def funnel_from_bitmaps(spark, sf_dir):
+    """The funnel from day cells that two landings left, the later days first."""
+    root = scratch_dir(spark)
+    clicks = td.clicks(spark, sf_dir)
+    late = F.coalesce(F.dayofmonth("event_timestamp") > 15, F.lit(False))
+    for part in (late, ~late):
+        refresh.land_clicks(spark, root, clicks.where(part))
+    return refresh.funnel_between(readers.read_table(spark, root + "/cells"), run_ts=td.RUN_TS)
+
+
+@query
+def daily_sales_refreshed(spark, sf_dir):
+    """Daily sales stored without three days, which then come one by one and out of order."""
+    root = scratch_dir(spark)
+    orders, products = settle(td.orders(spark, sf_dir)), td.products(spark, sf_dir)
+    late = [dt.date(1995, 3, 15), dt.date(1994, 7, 1), dt.date(1995, 3, 14)]
+    there = ~F.coalesce(F.to_date("order_timestamp").isin(late), F.lit(False))
+    refresh.store_sales(gold.gold_daily_sales(orders.where(there), products, td.AS_OF, td.RUN_TS), root)
+    for day in late:
+        own = orders.where(F.to_date("order_timestamp") == F.lit(day))
+        refresh.refresh_sales(spark, root, day, own, products, td.AS_OF, td.RUN_TS)
+    return refresh.read_sales(spark, root).drop(refresh.MONTH)
+
+
+@query
+def customers_mixed_headers(spark, sf_dir):
+    """One feed in three generations: as declared, reordered, and with other columns."""
+    feed = scratch_dir(spark) + "/customers"
+    every = td.customers(spark, sf_dir).select(*schemas.CUSTOMERS.names)
+    group = F.col("customer_id").cast("bigint") % 3
+    _publish(every.where(group == 0), feed, "signup_date")
+    _publish(every.where(group == 1).select(*reversed(schemas.CUSTOMERS.names)), feed, "signup_date")
+    third = every.where(group == 2).drop("preferred_category").withColumnRenamed("loyalty_tier", "tier")
+    _publish(third.withColumn("newsletter", F.lit("yes")), feed, "signup_date")
+    raw = readers.read_csv_generations(
+        spark, feed, schemas.CUSTOMERS, required=("customer_id", "email"), renamed={"tier": "loyalty_tier"})
+    return clean.clean_customers(raw, td.RUN_TS, on_bad_value="fail").drop(*readers.DAY_COLUMNS)
+
+
+@query
+def revenue_of_fourth_quarters(spark, sf_dir):
+    """A report over a fact stored by month, of which a filtered calendar opens a quarter of the folders."""
+    root = scratch_dir(spark)
+    fact = star.with_order_month(_fact(spark, sf_dir))
+    writers.write_table(fact, root + "/fact", "overwrite", [star.ORDER_MONTH], rebalance=True)
+    stored_fact = readers.read_table(spark, root + "/fact")
+    writers.write_table(star.dim_date(stored_fact), root + "/dim_date", "overwrite")
+    calendar = readers.read_table(spark, root + "/dim_date")
+    return star.revenue_of_period(stored_fact, _dim_product(spark, sf_dir), calendar, F.col("quarter") == 4)
+
+
+@query
+def revenue_by_product_bucketed(spark, sf_dir):
+    """Orders and products stored in buckets of the product: joined and summed without an exchange."""
+    names = [f"lakemart_{x}_{uuid.uuid4().hex}" for x in ("orders", "products")]
+    writers.create_bucketed(td.orders(spark, sf_dir), names[0], "product_id", 8)
+    writers.create_bucketed(td.products(spark, sf_dir), names[1], "product_id", 8)
+    orders, products = (readers.read_catalog(spark, n) for n in names)
+    found = settle(basic.top_products(derive.enrich_orders(orders, products, ("brand",))))
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+@query
+def checked_writes(spark, sf_dir):
+    """A month of orders written behind checks, then a damaged one of that month refused."""
+    path, day = scratch_dir(spark) + "/orders", dt.date(1998, 3, 1)
+    month = td.orders(spark, sf_dir).where("date_trunc('month', order_timestamp) = '1998-03-01'")
+    landed = readers.with_run_day(month, day)
+    checks = writers.Checks(
+        key=("order_id",), not_null=("order_id", "order_timestamp"), ranges={"quantity": (1, 50)}, max_change=0.5)
+    found = writers.write_checked(landed, path, day, checks)
+    damaged = landed.unionByName(landed).withColumn("quantity", -F.col("quantity"))
+    try:
+        writers.write_checked(damaged, path, day, checks)
+        broken = []
+    except writers.Refused as refused:
+        broken = refused.broken
+    return readers.read_table(spark, path).drop(*readers.DAY_COLUMNS).select(
+        "order_id", "quantity", "order_timestamp", F.lit(found["rows"]).cast("bigint").alias("rows_accepted"),
+        F.lit(",".join(broken)).alias("refused_for"))
+
+
+@query
+def orders_of_a_status_in_order(spark, sf_dir):
+    """Number and previous amount of each order among those of its status, three hot keys cut along the time."""
+    return blocks.with_window(
+        td.orders(spark, sf_dir), ["order_status"], ["order_timestamp", "order_id"],
+        {"previous_amount": "total_amount"}, "order_number", limit=1000, blocks=16,
+    ).select("order_id", "order_status", "order_number", "previous_amount")

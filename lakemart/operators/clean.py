@@ -79,6 +79,19 @@ def clean_product_changes(
     Rows without a product or an operation are dropped; text that is empty
     after trimming is kept, and so is an operation code nobody knows.
     """
+    usable = _usable_changes(raw, on_bad_value)
+    order = total_order(usable, ["source_updated_at"], ["product_id"])
+    return stamp(pick_one(usable, ["product_id"], order), run_ts)
+
+
+def type_product_changes(
+    raw: DataFrame, run_ts: RunTs = None, on_bad_value: str = "null"
+) -> DataFrame:
+    """Every event of the change feed, trimmed and typed as above: what a replay takes."""
+    return stamp(_usable_changes(raw, on_bad_value), run_ts)
+
+
+def _usable_changes(raw: DataFrame, on_bad_value: str) -> DataFrame:
     trimmed = ("product_id", "product_name", "category", "subcategory", "brand")
     schemas.require(raw, schemas.PRODUCT_CHANGES.names, "product changes")
     neat = well_formed(raw).withColumns(
@@ -88,6 +101,4 @@ def clean_product_changes(
         }
     )
     typed = schemas.conform(neat, schemas.PRODUCT_CHANGES, on_bad_value)
-    usable = typed.where(F.col("product_id").isNotNull() & F.col("operation").isNotNull())
-    order = total_order(usable, ["source_updated_at"], ["product_id"])
-    return stamp(pick_one(usable, ["product_id"], order), run_ts)
+    return typed.where(F.col("product_id").isNotNull() & F.col("operation").isNotNull())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.session import stored
+
 UNMATCHED_MODES = ("fail", "null")
 REPEATED_MODES = ("fail", "first")
 
@@ -49,16 +51,20 @@ def lookup(
 
     With ``on_unmatched="null"`` the row stays, with NULLs. A matched key that
     ``dimension`` has more than once is an error too, or with
-    ``on_repeated="first"`` gives the row whose ``values`` sort first. The
-    dimension is reduced to its keys on the exchange that the join needs anyway.
+    ``on_repeated="first"`` gives the row whose ``values`` sort first.
+
+    The dimension is reduced to one row a key and stored before the join. Then
+    both sides of a sort-merge join are bare exchanges, and adaptive execution
+    splits the facts of a hot key; an aggregate under the join would keep them in
+    one task. A dimension that turns out small is broadcast.
     """
     if on_unmatched not in UNMATCHED_MODES:
         raise ValueError(f"on_unmatched must be one of {UNMATCHED_MODES}, got {on_unmatched!r}")
     if on_repeated not in REPEATED_MODES:
         raise ValueError(f"on_repeated must be one of {REPEATED_MODES}, got {on_repeated!r}")
     row, times = "__row", "__times"
-    right = dimension.groupBy(key).agg(
-        F.min(F.struct(*values)).alias(row), F.count(F.lit(1)).alias(times))
+    right = stored(dimension.groupBy(key).agg(
+        F.min(F.struct(*values)).alias(row), F.count(F.lit(1)).alias(times)))
     joined = facts.join(right, key, "left")
     name = F.coalesce(F.col(key).cast("string"), F.lit("NULL"))
 

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart import schemas
-from lakemart.session import remove
+from lakemart.operators.blocks import LIMIT, next_where
+from lakemart.operators.landing import BUCKET, BUCKETS, bucket_of, home_of, slices, touched
+from lakemart.session import remove, stored
 from lakemart.sources.writers import empty_like, write_table
 
 COLUMNS = schemas.PRODUCT_HISTORY.names
@@ -76,6 +78,69 @@ def apply_scd2(history: DataFrame, batch: DataFrame, expire_on_insert: bool = Fa
     return past.unionByName(advance(history.where("is_current"), batch, expire_on_insert))
 
 
+EVENT = [n for n in schemas.PRODUCT_CHANGES.names if n != "source_updated_at"]
+
+
+def replay(changes: DataFrame, expire_on_insert: bool = False, limit: int = LIMIT) -> DataFrame:
+    """The history that all events of a change feed lead to, in whatever order they landed.
+
+    ``changes`` are typed events (see ``clean.type_product_changes``), any number
+    for a product. They count in order of their event time, ties by all other
+    columns, each as a batch of its own would in ``advance``: I and U begin a
+    version, and the next U or D of the product (or I, with ``expire_on_insert``)
+    ends it. An event that landed twice counts once, with its earliest stamp.
+
+    One sorted pass over each product's events, in which a version looks ahead for
+    its end; a product with more than ``limit`` events is cut along the time.
+    """
+    closing = [UPDATE, DELETE, INSERT] if expire_on_insert else [UPDATE, DELETE]
+    events = changes.groupBy(*schemas.PRODUCT_CHANGES.names).agg(
+        F.min("processed_timestamp").alias("processed_timestamp"))
+    order = ["source_updated_at", *[c for c in EVENT if c != "product_id"]]
+    ended = next_where(
+        events, ["product_id"], order, F.col("operation").isin(closing), F.col("source_updated_at"), "__end", limit)
+    return (
+        ended.where(F.col("operation").isin(INSERT, UPDATE))
+        .withColumns({
+            "effective_from": F.col("source_updated_at"),
+            "effective_to": F.col("__end.value"),
+            "is_current": F.col("__end").isNull(),
+        })
+        .select(COLUMNS)
+    )
+
+
+def land_changes(
+    spark: SparkSession, root: str, changes: DataFrame, expire_on_insert: bool = False, buckets: int = BUCKETS
+) -> list[int]:
+    """Add typed events to the log at ``root`` and replay the products of the buckets they touch.
+
+    Batches may come late, in any order and more than once: the stored history is
+    always that of ``replay`` over all events so far. Only the touched buckets of
+    log and history are read and replaced.
+    """
+    log, n = home_of(spark, f"{root.rstrip('/')}/events", buckets)
+    history, _ = home_of(spark, f"{root.rstrip('/')}/history", n)
+    fresh = stored(changes.withColumn(BUCKET, bucket_of(["product_id"], n)))
+    hit = touched(fresh)
+    if hit:
+        both = slices(spark, log, fresh.schema, hit).unionByName(fresh)
+        merged = stored(both.groupBy(*schemas.PRODUCT_CHANGES.names, BUCKET).agg(
+            F.min("processed_timestamp").alias("processed_timestamp")))
+        write_table(merged, log, "dynamic", [BUCKET], rebalance=True)
+        versions = replay(merged, expire_on_insert).withColumn(BUCKET, bucket_of(["product_id"], n))
+        write_table(versions, history, "dynamic", [BUCKET], rebalance=True)
+        # A bucket of deletes alone has no version to replace its folder with; nor had it one before.
+    return hit
+
+
+def read_replayed(spark: SparkSession, root: str) -> DataFrame:
+    """The history that ``land_changes`` maintains."""
+    home, _ = home_of(spark, f"{root.rstrip('/')}/history")
+    fields = [*schemas.PRODUCT_HISTORY.fields, T.StructField(BUCKET, T.IntegerType())]
+    return slices(spark, home, T.StructType(fields)).select(COLUMNS)
+
+
 def current_version(history: DataFrame) -> DataFrame:
     """Rows in force now. Marts take this, never the whole history."""
     return history.where("is_current")

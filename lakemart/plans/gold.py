@@ -120,11 +120,16 @@ def gold_daily_sales(
     "Previous day" is the group's previous row, however long ago. New-product
     revenue goes by the product's age on ``as_of``, not on the sale date.
     """
+    return _with_growth(sales_totals(orders, products, as_of), run_ts)
+
+
+def sales_totals(orders: DataFrame, products: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """What a sale day's orders alone decide, per (sale_date, category, brand)."""
     group = ["sale_date", "category", "brand"]
     parts = _sales_by_group(orders, products, as_of).unionByName(
         _buyers_by_group(orders, products), allowMissingColumns=True
     )
-    totals = parts.groupBy(*group).agg(
+    return parts.groupBy(*group).agg(
         F.sum("orders").alias("total_orders"),
         F.sum("units").alias("units_sold"),
         F.sum("revenue").cast("double").alias("total_revenue"),
@@ -136,12 +141,20 @@ def gold_daily_sales(
         F.sum("active_products").alias("active_products_sold"),
         F.sum("new_revenue").cast("double").alias("new_product_revenue"),
     )
-    revenue, previous = F.col("total_revenue"), F.col("previous_day_revenue")
+
+
+def _with_growth(totals: DataFrame, run_ts: RunTs) -> DataFrame:
     by_day = Window.partitionBy("category", "brand").orderBy("sale_date")
+    return sales_of(
+        totals.withColumn("previous_day_revenue", F.lag("total_revenue").over(by_day)), run_ts)
+
+
+def sales_of(totals: DataFrame, run_ts: RunTs = None) -> DataFrame:
+    """The daily-sales rows of totals that know their group's previous revenue."""
+    revenue, previous = F.col("total_revenue"), F.col("previous_day_revenue")
     out = (
         totals.withColumn("gross_profit", revenue - F.col("estimated_cost"))
         .withColumn("gross_margin_percent", ratio_or_zero(F.col("gross_profit"), revenue, 100))
-        .withColumn("previous_day_revenue", F.lag("total_revenue").over(by_day))
         .withColumn("daily_growth_percent", ratio_or_null(revenue - previous, previous, 100))
         .withColumn("sales_trend", bands.sales_trend(F.col("daily_growth_percent")))
     )
@@ -274,9 +287,7 @@ def gold_conversion_funnel(clicks: DataFrame, run_ts: RunTs = None) -> DataFrame
     may be negative. Removals from the cart are not a stage.
     """
     event = F.col("event_type")
-    views, carts = F.col("product_views"), F.col("cart_additions")
-    checkouts, purchases = F.col("checkout_starts"), F.col("purchases")
-    out = (
+    totals = (
         clicks.groupBy("product_id")
         .agg(
             count_when(event == "view_product").alias("product_views"),
@@ -286,7 +297,16 @@ def gold_conversion_funnel(clicks: DataFrame, run_ts: RunTs = None) -> DataFrame
             F.count_distinct("customer_id").alias("unique_customers"),
             F.count_distinct("session_id").alias("unique_sessions"),
         )
-        .withColumns(
+    )
+    return funnel_of(totals, run_ts)
+
+
+def funnel_of(totals: DataFrame, run_ts: RunTs = None) -> DataFrame:
+    """The funnel's rates and status from its stage and distinct counts per product."""
+    views, carts = F.col("product_views"), F.col("cart_additions")
+    checkouts, purchases = F.col("checkout_starts"), F.col("purchases")
+    out = (
+        totals.withColumns(
             {
                 "view_to_cart_rate": ratio_or_zero(carts, views, 100),
                 "cart_to_checkout_rate": ratio_or_zero(checkouts, carts, 100),

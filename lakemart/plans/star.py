@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart import schemas
@@ -96,6 +96,35 @@ def revenue_by_month_category(
     )
 
 
+ORDER_MONTH = "order_month"
+
+
+def with_order_month(fact: DataFrame) -> DataFrame:
+    """The fact with the month that a stored one is partitioned by; null without an order time."""
+    return fact.withColumn(ORDER_MONTH, F.date_format("order_timestamp", "yyyy-MM"))
+
+
+def revenue_of_period(
+    fact_by_month: DataFrame, products: DataFrame, calendar: DataFrame, period: Column
+) -> DataFrame:
+    """Revenue per year, month name and category of the months that ``period`` picks from the calendar.
+
+    ``period`` is a condition on year, quarter or month. The fact is stored by
+    ``order_month`` and joins the calendar's months on it, so that only the folders
+    of those months are opened, whatever the fact's size.
+    """
+    months = calendar.where(period).select(
+        F.date_format("full_date", "yyyy-MM").alias(ORDER_MONTH), "year", "month_name").distinct()
+    per_month = fact_by_month.groupBy("product_id", ORDER_MONTH).agg(F.sum("total_amount").alias("revenue"))
+    return (
+        per_month.join(months, ORDER_MONTH)
+        .join(products.select("product_id", "category"), "product_id")
+        .groupBy("year", "month_name", "category")
+        .agg(F.sum("revenue").alias("revenue"))
+        .orderBy(F.col("revenue").desc(), "year", "month_name", "category")
+    )
+
+
 def preview(table: DataFrame, n: int = 10, order_by: Sequence[str] = ()) -> DataFrame:
     """First ``n`` rows by ``order_by``, or any ``n`` rows without a full scan."""
     return (table.orderBy(*order_by) if order_by else table).limit(n)

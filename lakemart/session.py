@@ -61,12 +61,39 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/lakemart-{uuid.uuid4().hex}"
 
 
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files and folders that a path pattern finds in its store, in order."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return sorted(f.getPath().getName() for f in fs.globStatus(place) or [])
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; its target may not exist yet."""
+    at, to = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(to.getParent())
+    if not fs.rename(at, to):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store its path names."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and continue from the files.
+
+    Unlike a checkpoint, files tell the planner their size, so a small frame is
+    still broadcast and a large one is a bare scan below its exchange.
+    """
+    path = scratch_dir(df.sparkSession) + "/stored"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder and continue from there.
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.session import folder_names, move, remove
 from lakemart.sources.readers import DAY_COLUMNS, LINE_ESCAPES
 
 WRITE_MODES = ("append", "overwrite", "dynamic")
@@ -82,6 +85,89 @@ def write_gold(df: DataFrame, path: str, day: dt.date | None = None) -> None:
         write_table(df, path, mode="dynamic", partition_by=DAY_COLUMNS)
 
 
+@dataclass(frozen=True)
+class Checks:
+    """What a day's rows have to meet before they are made visible.
+
+    ``not_null`` columns without nulls, ``ranges`` of least and greatest values,
+    no more than ``max_repeats`` rows beyond one for each ``key``, at least
+    ``min_rows``, and a row count that differs from the present one of that day by
+    no more than the share ``max_change``.
+    """
+
+    key: tuple[str, ...] = ()
+    not_null: tuple[str, ...] = ()
+    ranges: Mapping[str, tuple] = field(default_factory=dict)
+    max_repeats: int = 0
+    min_rows: int = 1
+    max_change: float | None = None
+
+    def metrics(self) -> list[Column]:
+        return [
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(F.col(c).isNull()).alias(f"nulls {c}") for c in self.not_null],
+            *[F.count_if((F.col(c) < F.lit(low)) | (F.col(c) > F.lit(high))).alias(f"outside {c}")
+              for c, (low, high) in self.ranges.items()],
+        ]
+
+    def broken(self, found: Mapping[str, int], before: int | None) -> list[str]:
+        out = [name for name, n in found.items() if name.startswith(("nulls ", "outside ")) and n]
+        if found["repeats"] > self.max_repeats:
+            out.append("repeats")
+        if found["rows"] < self.min_rows:
+            out.append("rows")
+        if self.max_change is not None and before and abs(found["rows"] - before) > self.max_change * before:
+            out.append("change")
+        return sorted(out)
+
+
+class Refused(ValueError):
+    """A day's rows that did not meet their checks; the day's earlier rows are still in place."""
+
+    def __init__(self, day: dt.date, broken: list[str], found: dict[str, int]):
+        super().__init__(f"{day} refused for {broken}: {found}")
+        self.broken, self.found = broken, found
+
+
+def write_checked(df: DataFrame, path: str, day: dt.date, checks: Checks) -> dict[str, int]:
+    """Replace one day's folder by ``df`` if it meets ``checks``; what was found.
+
+    Rows go to a folder that readers pass over, counted by the write itself; only
+    repeats need a second look, at the key columns of what was written. Then the
+    folders change places, or ``Refused`` is raised and the day stays as it was.
+    """
+    spark, home = df.sparkSession, path.rstrip("/")
+    pending = f"{home}/_pending/{uuid.uuid4().hex}"
+    watch = Observation(f"checks-{uuid.uuid4().hex}")
+    rows = df.drop(*DAY_COLUMNS).observe(watch, *checks.metrics())
+    write_table(rows, f"{pending}/new", "overwrite")
+    found = {k: int(v) for k, v in watch.get.items()}
+    written = spark.read.schema(rows.schema).parquet(f"{pending}/new")
+    found["repeats"] = found["rows"] - written.select(*checks.key).distinct().count() if checks.key else 0
+    folder = f"{home}/year={day.year}/month={day.month}/day={day.day}"
+    there = bool(folder_names(spark, folder))
+    before = spark.read.schema(rows.schema).parquet(folder).count() if there else None
+    broken = checks.broken(found, before)
+    if not broken:
+        if there:
+            move(spark, folder, f"{pending}/old")
+        move(spark, f"{pending}/new", folder)
+    remove(spark, pending)
+    if broken:
+        raise Refused(day, broken, found)
+    return found
+
+
+def create_bucketed(df: DataFrame, name: str, key: str, buckets: int, mode: str = "error") -> None:
+    """Store ``df`` as a catalog table dealt by ``key``: joins and sums by it need no exchange.
+
+    Both tables of a join take the same number of buckets. A hot key is one bucket,
+    so this is for keys with many values of like size.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
 def create_table_as(df: DataFrame, name: str, mode: str = "error") -> None:
     """Materialise ``df`` as a catalog table."""
     df.write.mode(mode).format("parquet").saveAsTable(name)

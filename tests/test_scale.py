@@ -8,8 +8,8 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
 from lakemart import schemas
+from lakemart.checks.queries import REGISTRY as QUERIES
 from lakemart.operators import clean, derive
 from lakemart.plans import basic, gold, star
 from lakemart.session import shuffle_partitions_for
@@ -191,14 +191,14 @@ def test_a_hot_day_is_written_by_several_tasks(spark, hot):
 
 def test_no_query_multiplies_rows_or_runs_python(spark):
     """No cartesian product, no nested loop join and no Python worker in any plan."""
-    for name, run in entry_module.queries().items():
+    for name, run in QUERIES.items():
         plan = run(spark, SF)._jdf.queryExecution().executedPlan().toString()
         for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
             assert banned not in plan, (name, banned)
 
 
 def test_scans_read_only_what_they_need(spark):
-    plan = entry_module.queries()["customer_metrics_basic"](spark, SF)._jdf.queryExecution()
+    plan = QUERIES["customer_metrics_basic"](spark, SF)._jdf.queryExecution()
     scan = plan.executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in scan
     assert "l_discount" not in scan and "o_totalprice" not in scan
