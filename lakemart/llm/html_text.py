@@ -9,7 +9,9 @@ Every remaining node gets its composite density: characters per tag, adjusted
 by the share of link characters and link tags and by the page's link share.
 The subtree whose children's densities sum highest is the article; the lowest
 density on its path to ``body`` is the threshold from which other parts of the
-page are taken as well, unless the winner lies in an ``article`` or ``main``.
+page are taken as well. Where the winner lies in an ``article`` or ``main``, the
+innermost of these is the winner as a whole, and only the outermost is searched
+for other parts. Headings right before the article are taken with it.
 
 Pages are independent: one pass over the rows, no shuffle.
 """
@@ -45,7 +47,7 @@ SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "option"
     ("tr", "td", "th", "tbody", "thead", "tfoot"), {"table"})
 DROPPED = set(
     "head script style noscript template title nav footer aside form button select option textarea"
-    " iframe object svg canvas audio video map menu dialog math".split()
+    " iframe object svg canvas audio video map menu dialog".split()
 )
 DROPPED_ROLES = set(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
@@ -56,7 +58,7 @@ DROPPED_NAMES = set(
     " breadcrumb breadcrumbs nav navbar navigation menu topbar footer masthead"
     " reactions pagination pager toolbar login signup search skip".split()
 )
-COMMENTS = set("comment comments commentlist disqus replies reply respond".split())
+COMMENTS = set("comment comments commentlist discussion discussions disqus replies reply respond".split())
 #: A name with one of these tells of another element: has-sidebar, comments-open.
 MODIFIERS = set("has with without no is open closed enabled disabled".split())
 #: Elements that no name takes out.
@@ -64,6 +66,7 @@ PROSE = set("html body main p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 SHARE = 0.3
 OTHER_CHARS = 50
 HEADINGS = {"h1", "article", "main"}
+TITLES = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 _NAMES = re.compile(r"[a-z0-9]+").findall
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden").search
 
@@ -85,14 +88,22 @@ class Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.open = Node("html", None)
+        #: Open elements below the root, and where each kind stands among them: no tag climbs the tree.
+        self.path: list[Node] = []
+        self.places: dict[str, list[int]] = {}
+
+    def _innermost(self, tags: set[str]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def _pop_to(self, depth: int) -> None:
+        while len(self.path) > depth:
+            self.places[self.path.pop().tag].pop()
+        self.open = self.path[-1] if self.path else self.root
 
     def _close_to(self, tags: set[str], scope: set[str]) -> None:
-        at = self.open
-        while at is not self.root and at.tag not in scope:
-            if at.tag in tags:
-                self.open = at.parent
-                return
-            at = at.parent
+        found = self._innermost(tags)
+        if found > self._innermost(scope):
+            self._pop_to(found)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "html":
@@ -111,6 +122,8 @@ class Tree(HTMLParser):
         if attrs:
             self._mark(node, attrs)
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.path))
+            self.path.append(node)
             self.open = node
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -137,12 +150,8 @@ class Tree(HTMLParser):
                 node.drop = True
 
     def handle_endtag(self, tag: str) -> None:
-        at = self.open
-        while at is not self.root:
-            if at.tag == tag:
-                self.open = at.parent
-                return
-            at = at.parent
+        if self.places.get(tag):
+            self._pop_to(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
         self.open.children.append(data)
@@ -280,19 +289,36 @@ def main_text(html: str) -> str:
         return ""
     best = _best(order, root)
     path = _path(best, root)
-    article = next((n for n in path if n.tag in ("article", "main")), None)
-    if article is not None:
-        return _text([article])
-    threshold = min(n.density for n in path)
-    picked, taken, stack = [], set(), [root]
+    marked = [n for n in path if n.tag in ("article", "main")]
+    whole = root if not marked else marked[-1]
+    if marked:
+        best = marked[0]
+        path = _path(best, root)
+    return _text(_picked(best, path[: path.index(whole) + 1]))
+
+
+def _picked(best: Node, path: list[Node]) -> list[Node]:
+    """The winner and, in page order, what else of the outermost node of its path is article text.
+
+    That is whatever is as dense as the least dense node of the path, and the
+    headings that lead up to a node of the path.
+    """
+    threshold, on_path, titles = min(n.density for n in path), {id(n) for n in path}, set()
+    for node, above in zip(path, path[1:]):
+        below = [c for c in above.children if isinstance(c, Node)]
+        at = next(i for i, c in enumerate(below) if c is node)
+        while at and below[at - 1].tag in TITLES:
+            at -= 1
+            titles.add(id(below[at]))
+    picked, stack = [], [path[-1]]
     while stack:  # page order: a node, then its children from the first
         node = stack.pop()
-        if node is best or node not in path and node.chars and node.density >= threshold:
+        dense = id(node) not in on_path and node.chars and node.density >= threshold
+        if node is best or dense or id(node) in titles:
             picked.append(node)
-            taken.add(id(node))
         else:
             stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
-    return _text(picked)
+    return picked
 
 
 def extract(pages: DataFrame) -> DataFrame:

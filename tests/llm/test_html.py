@@ -70,3 +70,70 @@ ALL = f"{TEXT} " + " ".join(f"Paragraph {i} of the story goes on with some more
 ])
 def test_names_take_no_article_text(page, text):
     assert main_text(page) == text
+
+
+LONG = "".join(f"<p>Sentence {i} of another part, which has as many words as the first one.</p>" for i in range(4))
+OTHER = " ".join(f"Sentence {i} of another part, which has as many words as the first one." for i in range(4))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<main><article>{BODY}{MORE}</article><article>{LONG}</article></main>", f"{ALL} {OTHER}"),
+    (f"<main><h1>Title</h1><article>{BODY}{MORE}</article></main>", f"Title {ALL}"),
+    (f"<body><div><h1>Title</h1><div class=text>{BODY}{MORE}</div></div><div><a href=1>x</a> <a href=2>y</a></div></body>", f"Title {ALL}"),
+    (f"<article>{BODY}<p>Let <math><mi>x</mi></math> hold.</p>{MORE}</article>", ALL.replace(" Paragraph 0", " Let x hold. Paragraph 0")),
+    (f"<article>{BODY}{MORE}</article><div class=discussion><p>{'I liked it. ' * 60}</p></div>", ALL),
+    (f"<main><article>{BODY}{MORE}</article><ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul></main>", ALL),
+])
+def test_parts_beside_the_densest(page, text):
+    assert main_text(page) == text
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    began = time.monotonic()
+    assert main_text("<div>" * 100_000 + "deep") == "deep"
+    assert main_text("<p><table><td>" + "<div>" * 50_000 + "deep" + "</i></div>" * 50_000) == "deep"
+    assert time.monotonic() - began < 20
+
+
+def test_densities_against_their_definition():
+    """Counts by walking each subtree anew, densities from the published formula."""
+    import math
+    import random
+
+    from lakemart.llm import html_text
+
+    def build(rng, depth):
+        tag = rng.choice(["div", "p", "a", "span", "ul"])
+        inner = [rng.choice(["some words here ", "x", "", "  "]) if depth == 0 or rng.random() < 0.5 else build(rng, depth - 1)
+                 for _ in range(rng.randint(0, 4))]
+        return f"<{tag}>{''.join(inner)}</{tag}>"
+
+    def nodes(n):
+        return [c for c in n.children if not isinstance(c, str)]
+
+    def chars(n, linked=False):
+        if linked and n.tag == "a":
+            return chars(n)
+        own = 0 if linked else sum(len("".join(c.split())) for c in n.children if isinstance(c, str))
+        return own + sum(chars(c, linked) for c in nodes(n))
+
+    def tags(n, name=None):
+        return sum((name is None or c.tag == name) + tags(c, name) for c in nodes(n))
+
+    rng = random.Random(4)
+    for _ in range(60):
+        tree = html_text.Tree()
+        tree.feed("<body>" + "".join(build(rng, 3) for _ in range(3)))
+        tree.close()
+        share = rng.random()
+        for n in html_text._densities(tree.root, share):
+            c, lc = chars(n), chars(n, True)
+            t, lt = max(tags(n), 1), max(tags(n, "a") + (n.tag == "a"), 1)
+            want = 0.0
+            if c:
+                base = math.log(math.log(c / max(c - lc, 1) * lc + share * c + math.e))
+                want = c / t * max(math.log(c / max(lc, 1) * t / lt), 0.0) / max(base, 0.1)
+            assert n.density == pytest.approx(want)
+            assert n.total == pytest.approx(sum(x.density for x in nodes(n)))
