@@ -45,6 +45,99 @@ TEMPLATES = {
     "BSD-grant": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
         " that the following conditions are met"),
+    # Other usual wordings of the same and of further licenses.
+    "MIT-licensed": "Licensed under the MIT License.",
+    "MIT-distributed": "Distributed under the MIT License.",
+    "MIT-available": "This project is available under the MIT License.",
+    "MIT-warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT"
+        " LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+    "MIT-spdx": "SPDX-License-Identifier: MIT",
+    "Apache-2.0-released": "Released under the Apache License, Version 2.0.",
+    "Apache-2.0-short": "Licensed under the Apache License 2.0.",
+    "Apache-2.0-distributed": "Distributed under the Apache License 2.0.",
+    "Apache-2.0-warranty": (
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is"
+        " distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
+    "Apache-2.0-spdx": "SPDX-License-Identifier: Apache-2.0",
+    "ISC": "Licensed under the ISC License.",
+    "ISC-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+        " hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "BSD-2-Clause": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
+    "BSD-3-Clause-spdx": "SPDX-License-Identifier: BSD-3-Clause",
+    "BSD-3-Clause-names": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or"
+        " promote products derived from this software without specific prior written permission."),
+    "BSD-warranty": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED"
+        " WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A"
+        " PARTICULAR PURPOSE ARE DISCLAIMED."),
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " General Public License as published by the Free Software Foundation; either version 2 of the License,"
+        " or (at your option) any later version."),
+    "GPL-2.0-only-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " General Public License version 2 as published by the Free Software Foundation."),
+    "GPL-2.0-spdx": "SPDX-License-Identifier: GPL-2.0",
+    "GPL-3.0-short": "Licensed under the GNU General Public License v3.0.",
+    "GPL-3.0-spdx": "SPDX-License-Identifier: GPL-3.0",
+    "GPL-warranty": (
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the"
+        " implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License"
+        " for more details."),
+    "LGPL-2.1": "Licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License,"
+        " or (at your option) any later version."),
+    "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0": "Licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License,"
+        " or (at your option) any later version."),
+    "MPL-1.1-header": (
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may"
+        " not use this file except in compliance with the License."),
+    "MPL-2.0-copy": (
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "MPL-2.0-spdx": "SPDX-License-Identifier: MPL-2.0",
+    "EPL-1.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public"
+        " License v1.0 which accompanies this distribution"),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public"
+        " License 2.0 which is available at"),
+    "CC0-1.0": (
+        "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights"
+        " to this work to the public domain worldwide."),
+    "CC0-1.0-short": "This work is dedicated to the public domain under CC0 1.0 Universal.",
+    "CC-BY-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-3.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-NC-4.0-long": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC-BY-NC-SA-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "CC-BY-ND-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Unlicense-grant": (
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source"
+        " code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    "Zlib-grant": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and"
+        " to alter it and redistribute it freely, subject to the following restrictions"),
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "Artistic-2.0": "You may redistribute it under the terms of the Artistic License 2.0.",
+    "GFDL-1.3": (
+        "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free"
+        " Documentation License, Version 1.3 or any later version published by the Free Software Foundation"),
 }
 WIDTH = 3
 CONTAINMENT = 0.8
@@ -113,6 +206,10 @@ def scan(
 ) -> DataFrame:
     """Licenses found in ``docs`` (doc_id, text), words without regard to case and punctuation.
 
+    A template's name begins with its license. Notices that differ in few words,
+    as those of two versions do, may each reach the limit; the one with the larger
+    containment is the nearer.
+
     Per document and license: doc_id, license, containment (the largest of a
     window) and n_windows (windows at or above the limit). Null and empty texts
     and texts without a match give no row; equal repeated rows give one; null

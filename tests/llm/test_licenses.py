@@ -47,3 +47,29 @@ def test_plan_is_native(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     plan = license_scan.scan(docs)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_usual_wordings_reach_their_license(spark):
+    wordings = {
+        1: ("MIT", "Copyright 2020. This code is licensed under the MIT license, see LICENSE."),
+        2: ("Apache-2.0", "You may use it: licensed under the Apache License 2.0 (see NOTICE)"),
+        3: ("GPL-2.0", "# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU"
+            " General Public License as published by\n# the Free Software Foundation; either version 2 of the License, or\n#"
+            " (at your option) any later version."),
+        4: ("AGPL-3.0", "licensed under the GNU Affero General Public License (version 3)"),
+        5: ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby"
+            " granted, provided that the above copyright notice and this permission notice appear in all copies."),
+        6: ("MPL-2.0", "// SPDX-License-Identifier: MPL-2.0"),
+        7: ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or"
+            " promote products derived from this work without specific prior written permission."),
+        8: ("Unlicense", "This is free and unencumbered software released into the public domain!"),
+        9: ("CC-BY-NC-SA-4.0", "This article is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0"
+            " International License."),
+    }
+    docs = spark.createDataFrame([(i, "lorem ipsum " * i + t) for i, (_, t) in wordings.items()], "doc_id long, text string")
+    best = {}
+    for r in license_scan.scan(docs).collect():
+        best[r.doc_id] = max(best.get(r.doc_id, (0, "")), (r.containment, r.license))
+    assert {i: name for i, (_, name) in best.items() if not name.startswith(wordings[i][0])} == {}
+    assert set(best) == set(wordings)
+    assert len(license_scan.TEMPLATES) >= 50
