@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import components, staged
 from lakemart.llm.jaccard import roots
 from lakemart.llm.tree_search import Setting as TreeSetting
-from lakemart.llm.tree_search import grow
+from lakemart.llm.tree_search import grow, refined
 from lakemart.llm.vectors import cosines, dimension, matrix, unit, usable
 
 
@@ -47,7 +47,7 @@ class Graph:
     sample: int = 20_000
     audit: int = 100
     recall: float = 0.999
-    attempts: int = 4
+    most: int = 10_000
 
 
 def robust_prune(x: np.ndarray, graph: Graph) -> np.ndarray:
@@ -224,7 +224,10 @@ def link(vectors: DataFrame, graph: Graph = Graph()) -> DataFrame:
     own = classes.select(F.col("class_id").alias("vec_id"), "label", "copies", "vector")
 
     taught = own.orderBy(F.xxhash64("vec_id", F.lit(5)), "vec_id").limit(graph.sample).select("vector").toArrow()
-    tree = grow(unit(matrix(taught["vector"])) if len(taught) else np.zeros((0, 0)), TreeSetting(leaf=graph.shard))
+    setting = TreeSetting(leaf=graph.shard, sample=graph.sample)
+    tree = grow(unit(matrix(taught["vector"])) if len(taught) else np.zeros((0, 0)), setting)
+    # Groups of near copies stay together, however large: they are what is looked for.
+    tree = refined(own, tree, graph.most, setting, graph.similarity)
     shared = spark.sparkContext.broadcast(tree)
     audited = staged(own.orderBy(F.xxhash64("vec_id", F.lit(6)), "vec_id").limit(graph.audit))
     block = F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n") / graph.block))
@@ -237,7 +240,7 @@ def link(vectors: DataFrame, graph: Graph = Graph()) -> DataFrame:
         _brute(graph), "a long, b long"))
     wanted = truth.count()
 
-    for attempt in range(graph.attempts):
+    while True:
         members = staged(_members(own, shared, graph))
         edges = members.groupBy(*_GROUP).applyInArrow(_edges(graph), "a long, b long").distinct()
         # At most 2 * degree from every group a vector is in, most of them the same.
@@ -251,7 +254,9 @@ def link(vectors: DataFrame, graph: Graph = Graph()) -> DataFrame:
             _found(graph, only=True), "a long, b long").distinct().join(truth, ["a", "b"]).count()
         if got >= graph.recall * wanted:
             break
-        graph = replace(graph, overlap=graph.overlap * 2, beam=graph.beam * 2, slack=graph.slack * 1.5)
+        if graph.overlap >= tree.leaves and graph.slack >= 2:
+            raise RuntimeError(f"the graphs find {got} of {wanted} audited links at their widest setting")
+        graph = replace(graph, overlap=graph.overlap * 2, beam=graph.beam * 2, slack=graph.slack * 2)
     found = staged(with_flag.groupBy(*_GROUP).applyInArrow(_found(graph, only=False), "vec_id long, n long, root long"))
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("linked")).withColumnRenamed("vec_id", "of")
     reached = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))

@@ -1,7 +1,8 @@
 """Nearest neighbours through a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample and sent to every task; all vectors are
-dealt out to its leaves. A query walks the tree best bin first: a priority queue
+The tree is fitted on a bounded sample, its leaves split further on samples of
+their own until none holds too many vectors, and sent to every task; all vectors
+are dealt out to its leaves. A query walks the tree best bin first: a priority queue
 holds the branches seen so far by the cosine of their centres, and each leaf
 taken from it is visited. How many leaves a query visits is widened until the
 recall against brute force, measured on a bounded sample of queries over all
@@ -14,8 +15,9 @@ may hold any share of the table. A block keeps each query's best; these meet.
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ _BLOCK_ROWS = 4_000
 
 @dataclass(frozen=True)
 class Setting:
-    """``sample`` rows fit the tree, ``calibrate`` queries measure recall."""
+    """``sample`` rows fit the tree, ``calibrate`` queries measure recall, a leaf holds ``most`` rows."""
 
     branch: int = 8
     leaf: int = 64
@@ -40,6 +42,7 @@ class Setting:
     calibrate: int = 64
     recall: float = 0.97
     neighbours: int = 5
+    most: int = 50_000
 
 
 @dataclass
@@ -106,6 +109,84 @@ def grow(x: np.ndarray, setting: Setting) -> Tree:
     return tree
 
 
+def grafted(tree: Tree, leaf: int, sub: Tree) -> Tree:
+    """``tree`` with one leaf replaced by a tree of its own; its first leaf keeps the number."""
+    if not tree.centres:
+        return sub
+    number = {0: leaf} | {k: tree.leaves + k - 1 for k in range(1, sub.leaves)}
+    base = len(tree.centres)
+    node, place = next((i, c.index(~leaf)) for i, c in enumerate(tree.children) if ~leaf in c)
+    tree.centres += sub.centres
+    tree.children += [[~number[~c] if c < 0 else c + base for c in children] for children in sub.children]
+    tree.children[node][place] = base
+    tree.leaves += sub.leaves - 1
+    return tree
+
+
+def _in_leaves(tree):
+    """Rows of each leaf that a batch holds."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix(batch.column(1))
+            leaf, n = np.unique(tree.value.nearest(unit(x)) if len(x) else np.zeros(0, np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(n)], ["leaf", "n"])
+
+    return run
+
+
+def _sampled(tree, shares):
+    """A share of the rows of each leaf that is to be split, by the hash in the first column."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix(batch.column(1))
+            leaf = tree.value.nearest(unit(x)) if len(x) else np.zeros(0, np.int64)
+            share = np.array([shares.value.get(k, 0.0) for k in leaf.tolist()])
+            place = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) / 2.0**64
+            kept = pa.array(place < share)
+            yield pa.RecordBatch.from_arrays([pa.array(leaf), batch.column(1)], ["leaf", "vector"]).filter(kept)
+
+    return run
+
+
+def refined(rows: DataFrame, tree: Tree, most: int, setting: Setting, tight: float = 2.0) -> Tree:
+    """``tree`` with leaves split until none holds more than ``most`` of ``rows`` (vec_id, vector).
+
+    The number of leaves so grows with the table. A leaf that is too large is split
+    by a tree fitted on about ``sample`` of its own rows, one leaf a group; only
+    counts and trees pass through the driver. Leaves stay as they are whose rows
+    are equal, or of which half lie within cosine ``tight`` of their centre.
+    """
+    spark, whole = rows.sparkSession, set()
+    while True:
+        shared = spark.sparkContext.broadcast(tree)
+        counts = rows.select("vec_id", "vector").mapInArrow(_in_leaves(shared), "leaf long, n long")
+        large = {r.leaf: r.n for r in counts.groupBy("leaf").agg(F.sum("n").alias("n")).where(
+            F.col("n") > most).collect() if r.leaf not in whole}
+        if not large:
+            return tree
+
+        def subtree(group: pa.Table, large=large) -> pa.Table:
+            leaf, x = group["leaf"][0].as_py(), unit(matrix(group["vector"]))
+            middle = x.mean(axis=0)
+            close = np.median(x @ (middle / max(float(np.sqrt(middle @ middle)), 1e-300))) >= tight
+            size = max(2, int(len(x) * most / large[leaf]))
+            sub = Tree([], [], 1) if close else grow(x, replace(setting, leaf=size))
+            return pa.table({"leaf": pa.array([leaf], pa.int64()), "tree": pa.array([pickle.dumps(sub)], pa.binary())})
+
+        shares = spark.sparkContext.broadcast({k: setting.sample / n for k, n in large.items()})
+        grown = (
+            rows.select(F.xxhash64("vec_id", F.lit(11)), "vector")
+            .mapInArrow(_sampled(shared, shares), "leaf long, vector array<double>")
+            .groupBy("leaf").applyInArrow(lambda t: subtree(t), "leaf long, tree binary").collect())
+        for leaf, blob in sorted((r.leaf, bytes(r.tree)) for r in grown):
+            sub = pickle.loads(blob)
+            if sub.leaves > 1:
+                tree = grafted(tree, leaf, sub)
+            else:
+                whole.add(leaf)
+        whole |= large.keys() - {r.leaf for r in grown}
+
+
 def _best(setting: Setting):
     """Each block's nearest vectors of every query that visits it."""
 
@@ -181,6 +262,7 @@ def search(vectors: DataFrame, query: Column, setting: Setting = Setting()) -> D
     good = staged(good.where(F.size("vector") == size))
     taught = good.orderBy(F.xxhash64("vec_id", F.lit(9)), "vec_id").limit(setting.sample).select("vector").toArrow()
     tree = grow(unit(matrix(taught["vector"])) if len(taught) else np.zeros((0, 0)), setting)
+    tree = refined(good, tree, setting.most, setting)
     shared = spark.sparkContext.broadcast(tree)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

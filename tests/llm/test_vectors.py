@@ -100,3 +100,41 @@ def test_search_through_a_deep_tree(spark):
         near[q - 1] = -9
         hits += len(set(ids[np.argsort(-near)[:5]].tolist()) & {r.vec_id for r in got if r.query_id == q})
     assert hits >= 0.9 * 5 * (ids % 50 == 0).sum()
+
+
+def test_leaves_grow_with_the_table(spark):
+    """A tree fitted on few rows is split further until its leaves are bounded, but for near copies."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(6_000, 8))
+    x[:2_000] = x[0] + 1e-4 * rng.normal(size=(2_000, 8))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    setting = tree_search.Setting(leaf=64, sample=300)
+    small = tree_search.grow(tree_search.unit(x[5_700:]), setting)
+    tree = tree_search.refined(rows, small, 150, setting, 0.98)
+    counts = np.bincount(tree.nearest(tree_search.unit(x)), minlength=tree.leaves)
+    assert len(counts) == tree.leaves and counts.sum() == 6_000
+    held = np.bincount(tree.nearest(tree_search.unit(x[:2_000])), minlength=tree.leaves)
+    assert held.max() > 1_500, "near copies stay together"
+    # A leaf is left whole if half of it lies close to its centre.
+    assert counts[held == 0].max() <= 150 and (counts - held).max() <= held.max()
+    assert sorted(tree.best_first(tree_search.unit(x[:1])[0], tree.leaves)) == list(range(tree.leaves))
+
+
+def test_refined_search_equals_brute_force(spark):
+    rows = cloud(seed=3, groups=40, size=12)
+    setting = tree_search.Setting(leaf=8, sample=60, most=20)
+    got = tree_search.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, setting).collect()
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T
+    np.fill_diagonal(near, -2)
+    want = {(i + 1, j + 1) for i in range(19, len(rows), 20) for j in np.argsort(-near[i])[:5]}
+    assert len({(r.query_id, r.vec_id) for r in got} & want) >= 0.97 * len(want)
+
+
+@pytest.mark.parametrize("most", [25, 10_000])
+def test_links_with_bounded_shards(spark, most):
+    rows = cloud(seed=6)
+    graph = graph_dedup.Graph(shard=30, sample=60, most=most, recall=1.0)
+    got = graph_dedup.link(spark.createDataFrame(rows, SCHEMA), graph).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute_links(rows, 0.98)
