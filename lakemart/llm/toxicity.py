@@ -24,11 +24,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakemart.llm.shingles import slices
+from lakemart.llm.common import staged
+from lakemart.llm.shingles import SLICE_CHARS
 
 WORD = re.compile(r"\w+").findall
 STEMS = (7, 6, 5, 4)
@@ -47,31 +50,65 @@ class Sample:
     chars: int = 24_000_000
 
 
+class Ratios:
+    """A number for each known text, kept as two arrays: 64-bit hashes in order, and values."""
+
+    def __init__(self, known: dict[str, float]):
+        keys = self._hashes(list(known))
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.values = np.fromiter(known.values(), np.float64, len(known))[order]
+
+    @staticmethod
+    def _hashes(texts: list[str]) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Ratios) and np.array_equal(self.keys, other.keys) and np.array_equal(
+            self.values, other.values)
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Which texts are known, and the values of those."""
+        keys = self._hashes(texts)
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = self.keys[at] == keys
+        return known, self.values[at[known]]
+
+
 @dataclass
 class KneserNey:
     """Log-likelihood ratio, toxic over ordinary, of a word."""
 
-    words: dict[str, float]
-    stems: dict[str, float]  # of new words with this longest known beginning
+    words: Ratios
+    stems: Ratios  # of new words with this longest known beginning
     unknown: float
     weights: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
     prior: float | None = None
 
     def __call__(self, word: str) -> float:
-        known = self.words.get(word)
-        if known is not None:
-            return known
+        return float(self.ratios([word])[0])
+
+    def ratios(self, words: list[str]) -> np.ndarray:
+        out = np.full(len(words), self.unknown)
+        known, values = self.words.of(words)
+        out[known] = values
+        left = np.flatnonzero(~known)
         for length in STEMS:
-            known = self.stems.get(word[:length])
-            if known is not None:
-                return known
-        return self.unknown
+            known, values = self.stems.of([words[i][:length] for i in left.tolist()])
+            out[left[known]] = values
+            left = left[~known]
+        return out
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Per text: mean ratio a word, and the largest mean over each of ``WINDOWS``."""
         parts = [WORD(t.lower()) for t in texts]
         sizes = np.array([len(p) for p in parts], np.int64)
-        ratio = np.fromiter((r for p in parts for r in map(self, p)), np.float64, int(sizes.sum()))
+        different = list(dict.fromkeys(w for p in parts for w in p))
+        known = dict(zip(different, self.ratios(different).tolist()))
+        ratio = np.fromiter(
+            (r for p in parts for r in map(known.__getitem__, p)), np.float64, int(sizes.sum()))
         out = np.zeros((len(texts), 1 + len(WINDOWS)))
         some = np.flatnonzero(sizes)
         if len(some):
@@ -129,7 +166,7 @@ def kneser_ney(counts: dict[str, tuple[int, int]]) -> KneserNey:
         stems |= dict(zip(items, ratio(new).tolist()))
         p = np.maximum(has - DISCOUNT, 0) / total + new[of]
         lowest, items = lowest * rest, longer
-    return KneserNey(dict(zip(words, ratio(p).tolist())), stems, float(ratio(lowest)))
+    return KneserNey(Ratios(dict(zip(words, ratio(p).tolist()))), Ratios(stems), float(ratio(lowest)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, ...]:
@@ -198,56 +235,61 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, sample: Sample = Sampl
 
     Without labelled rows of both classes the score is the one class seen, 0 if none.
     """
-    taught = training_sample(docs, labels, keep, sample).persist()
-    try:
-        seen = {r.toxic for r in taught.select("toxic").distinct().collect()}
-        if seen != {0, 1}:
-            model = kneser_ney({})
-            model.prior = float(max(seen, default=0))
-            return model
-        counted = (
-            taught.mapInArrow(_count, "toxic int, half boolean, word string, n long")
-            .groupBy("word").agg(*[
-                F.sum(F.when((F.col("toxic") == kind) & (F.col("half") == half), F.col("n")).otherwise(0)).alias(f"n{kind}{int(half)}")
-                for half in (False, True) for kind in (0, 1)])
-            .toArrow()
-        )
-        # Words stay in Arrow's memory; one model's at a time become Python's.
-        word = counted.column("word")
-        n = np.stack([c.to_numpy() for c in counted.columns[1:]], axis=1)
-        del counted
-        x, y = [], []
-        for half in (False, True):
-            own = n[:, 2:] if half else n[:, :2]
-            some = own.any(axis=1)
-            shared = taught.sparkSession.sparkContext.broadcast(
-                kneser_ney(dict(zip(word.filter(pa.array(some)).to_pylist(), own[some].tolist()))))
-
-            def features(batches, shared=shared):
-                for batch in batches:
-                    f = shared.value.features(batch.column(1).to_pylist())
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0), *(pa.array(c) for c in f.T)], ["toxic", "f0", "f1", "f2"])
-
-            got = taught.where(F.col("half") != half).select("toxic", "text").mapInArrow(
-                features, "toxic int, f0 double, f1 double, f2 double").toPandas()
-            x.append(got[["f0", "f1", "f2"]].to_numpy())
-            y.append(got.toxic.to_numpy(np.float64))
-            shared.destroy()
-        model = kneser_ney(dict(zip(word.to_pylist(), (n[:, :2] + n[:, 2:]).tolist())))
-        del word, n
-        x, y = np.concatenate(x), np.concatenate(y)
-        model.weights = logistic(x, y) if len(set(y)) == 2 else (0.0, 0.0, 0.0, math.log(3.0))
+    taught = staged(training_sample(docs, labels, keep, sample))
+    seen = {r.toxic for r in taught.select("toxic").distinct().collect()}
+    if seen != {0, 1}:
+        model = kneser_ney({})
+        model.prior = float(max(seen, default=0))
         return model
-    finally:
-        taught.unpersist()
-
-
-def score_texts(model: KneserNey, texts: list[str | None]) -> np.ndarray:
-    """Scores of the texts, a bounded number of characters at a time."""
-    texts = [t or "" for t in texts]
-    parts = [model.features(texts[at:end]) for at, end in slices(texts)]
-    return model.score(np.concatenate(parts)) if parts else np.zeros(0)
+    counted = (
+        taught.mapInArrow(_count, "toxic int, half boolean, word string, n long")
+        .groupBy("word").agg(*[
+            F.sum(F.when((F.col("toxic") == kind) & (F.col("half") == half), F.col("n")).otherwise(0)).alias(f"n{kind}{int(half)}")
+            for half in (False, True) for kind in (0, 1)])
+        .toArrow()
+    )
+    # Words stay in Arrow's memory; one model's at a time become Python's.
+    word = counted.column("word")
+    n = np.stack([c.to_numpy() for c in counted.columns[1:]], axis=1)
+    del counted
+    x, y = [], []
+    for half in (False, True):
+        own = n[:, 2:] if half else n[:, :2]
+        some = own.any(axis=1)
+        shared = taught.sparkSession.sparkContext.broadcast(
+            kneser_ney(dict(zip(word.filter(pa.array(some)).to_pylist(), own[some].tolist()))))
+
+        def features(batches, shared=shared):
+            for batch in batches:
+                f = sliced_features(shared.value, batch.column(1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(c) for c in f.T)], ["toxic", "f0", "f1", "f2"])
+
+        got = taught.where(F.col("half") != half).select("toxic", "text").mapInArrow(
+            features, "toxic int, f0 double, f1 double, f2 double").toPandas()
+        x.append(got[["f0", "f1", "f2"]].to_numpy())
+        y.append(got.toxic.to_numpy(np.float64))
+        shared.destroy()
+    model = kneser_ney(dict(zip(word.to_pylist(), (n[:, :2] + n[:, 2:]).tolist())))
+    del word, n
+    x, y = np.concatenate(x), np.concatenate(y)
+    model.weights = logistic(x, y) if len(set(y)) == 2 else (0.0, 0.0, 0.0, math.log(3.0))
+    return model
+
+
+def sliced_features(model: KneserNey, texts: pa.Array) -> np.ndarray:
+    """Features of the texts, of which a bounded number of bytes are Python's at a time."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // SLICE_CHARS)) + 1
+    parts = [
+        model.features([t or "" for t in texts.slice(at, end - at).to_pylist()])
+        for at, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]) if end > at]
+    return np.concatenate([np.zeros((0, 1 + len(WINDOWS))), *parts])
+
+
+def score_texts(model: KneserNey, texts: pa.Array | list[str | None]) -> np.ndarray:
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    return model.score(sliced_features(model, texts))
 
 
 def score(docs: DataFrame, model: KneserNey, held_out: Column, threshold: float = THRESHOLD) -> DataFrame:
@@ -261,7 +303,7 @@ def score(docs: DataFrame, model: KneserNey, held_out: Column, threshold: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            s = score_texts(model, batch.column(2).to_pylist())
+            s = score_texts(model, batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"])
