@@ -36,7 +36,7 @@ def _below(spark: SparkSession, model: toxicity.KneserNey):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = toxicity.score_texts(shared.value, batch.column(1).to_pylist())
+            scores = toxicity.score_texts(shared.value, batch.column(1))
             yield batch.filter(pa.array(scores < REJECT))
 
     return run
