@@ -19,6 +19,7 @@ byte pieces. Ties go to the longest last piece.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,13 +34,19 @@ from lakemart.llm.common import staged
 CHUNK = 16_384
 BLOCK = 64
 MARK = "▁"
+STOPS = ".,;:!?)\"'»”…"
 ENCODED = "doc_id long, ids array<int>, score double"
-_CACHE_WORDS = 300_000
+#: Words of the younger half of the cache; the older half is as large.
+_CACHE_WORDS = 150_000
 _NONE = float("-inf")
 
 
 class Lattice(dict):
-    """Pieces of a model file; as a dict, the best ids and score of whole words."""
+    """Pieces of a model file; as a dict, the best ids and score of whole words.
+
+    When the cache is full it becomes the older half, from which words that
+    come again are taken over, so that frequent words stay.
+    """
 
     def __init__(self, model_file: str):
         from sentencepiece import SentencePieceProcessor
@@ -50,7 +57,15 @@ class Lattice(dict):
         self.byte_ids = {int(model.id_to_piece(i)[3:5], 16): i for i in ids if model.is_byte(i)}
         self.piece = {
             model.id_to_piece(i): (model.get_score(i), i) for i in ids if i not in special and not model.is_byte(i)}
-        self.beginnings = {p[:k] for p in self.piece for k in range(1, len(p))}
+        #: Pieces by their characters: to each one what may follow it, and the score if a piece ends there.
+        self.trie: dict[str, tuple[dict, float | None]] = {}
+        for p in sorted(self.piece):
+            node = self.trie
+            for k, ch in enumerate(p, 1):
+                if ch not in node:
+                    node[ch] = {}, self.piece.get(p[:k], (None,))[0]
+                node = node[ch][0]
+        self.older: dict[str, tuple[bytes, float]] = {}
         self.longest = max(map(len, self.piece))
         self.unknown = min(s for s, _ in self.piece.values()) - 10.0
         spell = {i: bytes([b]) for b, i in self.byte_ids.items()}
@@ -60,12 +75,21 @@ class Lattice(dict):
         self.parted = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.piece)
         #: Nor over a line break, if none is in a piece.
         self.lines = not any("\n" in p for p in self.piece)
-        rest = f"[^{MARK}\n]" if self.lines else f"[^{MARK}]"
-        self.words = re.compile(f"{MARK}+{rest}*|{rest}+" + ("|\n" if self.lines else ""))
+        # A word may also be parted before a mark, after a letter or digit that no piece has right before that mark.
+        line = "\n" if self.lines else ""
+        plain = f"[^{MARK}{line}{re.escape(STOPS)}]*"
+        joined = [rf"(?<![^\W_])[{re.escape(STOPS)}]"]
+        for mark in STOPS:
+            before = {x for p in self.piece for x in re.findall(rf"[^\W_](?={re.escape(mark)})", p)}
+            if before:
+                joined.append(f"(?<=[{re.escape(''.join(sorted(before)))}]){re.escape(mark)}")
+        rest = f"{plain}(?:(?:{'|'.join(joined)}){plain})*"
+        self.words = re.compile(f"{MARK}+{rest}|[^{MARK}{line}]{rest}" + ("|\n" if self.lines else ""))
+        self.cut = re.compile(f"(?<!{MARK})(?={MARK})" + (r"|(?=\n)|(?<=\n)" if self.lines else ""))
 
     def forward(self, text: str, start: int, until: int) -> tuple[list[float], list[int]]:
         """Best score and last start at every place reached by pieces that start before ``until``."""
-        piece, beginnings, longest = self.piece.get, self.beginnings, self.longest
+        trie, piece, longest = self.trie, self.piece, self.longest
         size = len(text)
         best = [_NONE] * (min(until + longest, size) + 1)
         last = [-1] * len(best)
@@ -74,17 +98,16 @@ class Lattice(dict):
             score = best[at]
             if score == _NONE:
                 continue
-            one = False
-            for end in range(at + 1, min(at + longest, size) + 1):
-                part = text[at:end]
-                found = piece(part)
-                if found is not None:
-                    one |= end == at + 1
-                    if score + found[0] > best[end]:
-                        best[end], last[end] = score + found[0], at
-                elif part not in beginnings:
+            following, end = trie, at
+            for ch in text[at : at + longest]:
+                found = following.get(ch)
+                if found is None:
                     break
-            if not one and score + self.unknown > best[at + 1]:
+                following, gain = found
+                end += 1
+                if gain is not None and score + gain > best[end]:
+                    best[end], last[end] = score + gain, at
+            if text[at] not in piece and score + self.unknown > best[at + 1]:
                 best[at + 1], last[at + 1] = score + self.unknown, at
         return best, last
 
@@ -100,19 +123,26 @@ class Lattice(dict):
 
     def __missing__(self, word: str) -> tuple[bytes, float]:
         if len(self) > _CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
-        best, last = self.forward(word, 0, len(word))
-        value = np.array(self.trace(word, 0, len(word), last), "<i4").tobytes(), best[len(word)]
+        value = self.older.get(word)
+        if value is None:
+            best, last = self.forward(word, 0, len(word))
+            ids = self.trace(word, 0, len(word), last)
+            value = struct.pack(f"<{len(ids)}i", *ids), best[len(word)]
         self[word] = value
         return value
 
-    def cuts(self, text: str, length: int) -> list[int]:
-        """Places in ``text[:length]`` that no piece runs over."""
-        if not self.parted:
-            return []
-        return [
-            i for i in range(1, length) if text[i] == MARK and text[i - 1] != MARK
-            or self.lines and "\n" in text[i - 1 : i + 1]]
+    def cuts(self, text: str, length: int) -> tuple[int, int] | None:
+        """First and last place within ``text[:length]`` that no piece runs over, if there is one."""
+        first = self.cut.search(text, 1, length) if self.parted and length > 1 else None
+        # A place at the very end of the range is none within it.
+        if first is None or first.start() >= length:
+            return None
+        last = length - 1
+        while not self.cut.match(text, last):
+            last -= 1
+        return first.start(), last
 
     def whole(self, text: str) -> tuple[bytes, float]:
         """Ids and score of a whole text."""
@@ -123,6 +153,14 @@ class Lattice(dict):
 
     def transfer(self, text: str, length: int) -> np.ndarray:
         """Transfer matrix of the chunk ``text[:length]``; the rest of ``text`` is looked ahead."""
+        return self.scanned(text, length)[0]
+
+    def scanned(self, text: str, length: int) -> tuple[np.ndarray, int, int, bytes]:
+        """Transfer matrix of the chunk ``text[:length]``.
+
+        With it the chunk's first and last cut (-1 if it has none) and the ids between
+        them, which hold whatever the states at its ends.
+        """
         states = self.longest
         cuts = self.cuts(text, length)
         out = np.full((states, states), _NONE)
@@ -134,34 +172,32 @@ class Lattice(dict):
             # A piece may also run over the whole of a short chunk.
             for i in range(length + 1, states):
                 out[i, i - length] = 0.0
-            return out
-        first, tail = cuts[0], cuts[-1]
+            return out, -1, -1, b""
+        first, tail = cuts
         head = [self.forward(text[:first], i, first)[0][first] for i in range(min(states, first + 1))]
-        middle = self.whole(text[first:tail])[1] if tail > first else 0.0
+        ids, middle = self.whole(text[first:tail]) if tail > first else (b"", 0.0)
         best, _ = self.forward(text[tail:], 0, length - tail)
         reach = best[length - tail : length - tail + states]
         out[: len(head), : len(reach)] = np.array(head)[:, None] + middle + np.array(reach)[None, :]
-        return out
+        return out, first, tail, ids
+
+    def between(self, head: str, middle: bytes, rest: str, first: int, tail: int, length: int, entry: int, exit_: int) -> bytes:
+        """Ids of the chunk's pieces, given the states at its ends.
+
+        ``head`` is the text up to the first cut and ``rest`` that from the last one
+        on; without cuts ``head`` is the whole. No piece runs over a cut, so the
+        entry lies before the first.
+        """
+        def ids(text: str, start: int, until: int, end: int) -> bytes:
+            if start >= end:
+                return b""
+            _, last = self.forward(text, start, until)
+            return np.array(self.trace(text, start, end, last), "<i4").tobytes()
 
-    def between(self, text: str, length: int, entry: int, exit_: int) -> bytes:
-        """Ids of the chunk's pieces, given the states at its ends."""
         end = length + exit_
-        if entry >= end:
-            return b""
-        cuts = [c for c in self.cuts(text, length) if c >= entry]
-        spans = [entry, *cuts, end]
-        out = []
-        for k, (a, b) in enumerate(zip(spans, spans[1:])):
-            if a == b:
-                continue
-            if cuts and 0 < k < len(spans) - 2:
-                out.append(self[text[a:b]][0])
-                continue
-            part = text[a : max(b, min(length + self.longest, len(text))) if k == len(spans) - 2 else b]
-            until = min(length - a, b - a)
-            _, last = self.forward(part, 0, until)
-            out.append(np.array(self.trace(part, 0, b - a, last), "<i4").tobytes())
-        return b"".join(out)
+        if first < 0:
+            return ids(head, entry, min(length, end), end)
+        return ids(head, entry, first, first) + middle + ids(rest, 0, min(length, end) - tail, end - tail)
 
 
 _LATTICES: dict[str, Lattice] = {}
@@ -220,10 +256,15 @@ class Scan:
     def matrices(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lattice(self.model_file)
         for batch in batches:
-            key, chunk, length, text = (c.to_pylist() for c in batch.columns)
-            found = [own.transfer(t, n).tobytes() for t, n in zip(text, length)]
+            length, text = (c.to_pylist() for c in batch.columns[3:])
+            found = [own.scanned(t, n) for t, n in zip(text, length)]
+            parts = [(t, "") if first < 0 else (t[:first], t[tail:]) for t, (_, first, tail, _) in zip(text, found)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["key", "chunk", "matrix"])
+                [*batch.columns[:4], pa.array([f[0].tobytes() for f in found], pa.binary()),
+                 pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.int32()),
+                 pa.array([f[3] for f in found], pa.binary()),
+                 pa.array([p[0] for p in parts], pa.string()), pa.array([p[1] for p in parts], pa.string())],
+                ["key", "doc_id", "chunk", "length", "matrix", "first", "tail", "middle", "head", "rest"])
 
     def _read(self, table: pa.Table, order: str) -> tuple[list[int], list[np.ndarray]]:
         states = lattice(self.model_file).longest
@@ -278,10 +319,9 @@ class Scan:
     def traced(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lattice(self.model_file)
         for batch in batches:
-            length, text, entry, exit_ = (c.to_pylist() for c in batch.columns[3:7])
-            found = [own.between(t, n, a, b) for t, n, a, b in zip(text, length, entry, exit_)]
+            found = [own.between(*row) for row in zip(*(c.to_pylist() for c in batch.columns[4:]))]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], batch.column(7), _id_lists(found)], ["key", "doc_id", "chunk", "score", "ids"])
+                [*batch.columns[:4], _id_lists(found)], ["key", "doc_id", "chunk", "score", "ids"])
 
 
 def encode(docs: DataFrame, model_file: str, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
@@ -299,10 +339,11 @@ def encode(docs: DataFrame, model_file: str, chunk: int = CHUNK, block: int = BL
     chunks = staged(
         base.where(long).select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
         .mapInArrow(scan.split, "key long, doc_id long, chunk int, length int, text string")
-        .repartition("key", "chunk"))
+        .repartition("key", "chunk")
+        .mapInArrow(scan.matrices, "key long, doc_id long, chunk int, length int, matrix binary, first int, tail int,"
+                                   " middle binary, head string, rest string"))
     in_block = F.floor(F.col("chunk") / block).cast("int").alias("block")
-    matrices = staged(chunks.select("key", "chunk", "length", "text").mapInArrow(
-        scan.matrices, "key long, chunk int, matrix binary").select("*", in_block))
+    matrices = chunks.select("key", "chunk", "matrix", in_block)
     # A text is less than 2 ** 31 characters long: its blocks are few.
     blocks = matrices.groupBy("key", "block").applyInArrow(
         lambda t: scan.block_product(t), "key long, block int, matrix binary").groupBy("key").applyInArrow(
@@ -310,7 +351,7 @@ def encode(docs: DataFrame, model_file: str, chunk: int = CHUNK, block: int = BL
     states = matrices.join(blocks, ["key", "block"]).groupBy("key", "block").applyInArrow(
         lambda t: scan.chunk_states(t), "key long, chunk int, entry int, exit int, score double")
     traced = chunks.join(states, ["key", "chunk"]).select(
-        "key", "doc_id", "chunk", "length", "text", "entry", "exit", "score").mapInArrow(
+        "key", "doc_id", "chunk", "score", "head", "middle", "rest", "first", "tail", "length", "entry", "exit").mapInArrow(
         scan.traced, "key long, doc_id long, chunk int, score double, ids array<int>")
     whole = traced.groupBy("key").agg(
         F.first("doc_id").alias("doc_id"), F.max("score").alias("score"),
