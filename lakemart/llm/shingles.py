@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 200_000
 SLICE_CHARS = 1_500_000
 
 
