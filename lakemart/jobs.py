@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import schemas
-from lakemart.operators import clean, scd2
-from lakemart.plans import basic, gold, star
+from lakemart.operators import clean, landing, scd2
+from lakemart.plans import basic, gold, refresh, star
 from lakemart.session import build_session, remove, shuffle_partitions_for
 from lakemart.sources import readers, writers
 
@@ -64,6 +64,16 @@ class Run:
         if readers.CORRUPT in raw.columns:
             self.write_plain(readers.set_aside(raw), "aside", feed)
 
+    def landed(self, feed: str, schema) -> DataFrame:
+        """The run's day of a CSV feed; a feed whose folder gives no day takes it from the run."""
+        if self.day is None:
+            raise ValueError(f"{feed} by the day needs a day")
+        raw = readers.read_csv_day(self.spark, self.path("bronze", feed), self.day, schema, self.bad_record)
+        if not set(readers.DAY_COLUMNS) <= set(raw.columns):
+            raw = readers.with_run_day(raw, self.day)
+        self.keep_aside(raw, f"{feed}/{self.day}")
+        return raw
+
     def run_day(self) -> dt.date | None:
         """The day of the run's time in the session's zone; None for the wall clock."""
         if self.run_ts is None:
@@ -92,6 +102,15 @@ def job(fn: Callable[[Run], None]) -> Callable[[Run], None]:
     return fn
 
 
+#: Jobs that keep a table or mart up by a landed day or batch, beside the full runs in ``JOBS``.
+BY_LANDING: dict[str, Callable[[Run], None]] = {}
+
+
+def landing_job(fn: Callable[[Run], None]) -> Callable[[Run], None]:
+    BY_LANDING[fn.__name__.replace("_", "-")] = fn
+    return fn
+
+
 # ---- feeds to tables ----
 
 
@@ -115,6 +134,45 @@ def silver_inventory(run: Run) -> None:
     run.write_silver(cleaned, "inventory", "overwrite", many_days=True)
 
 
+@landing_job
+def land_customers(run: Run) -> None:
+    """One landed day into the customers by key: only the buckets of its keys are read and rewritten."""
+    cleaned = clean.clean_customers(run.landed("customers", schemas.CUSTOMERS), run.run_ts, run.on_bad_value)
+    landing.land(run.spark, run.path("silver", "customers_by_key"), cleaned, "customer_id")
+
+
+@landing_job
+def land_inventory(run: Run) -> None:
+    """One landed day into the movements by key."""
+    cleaned = clean.clean_inventory(run.landed("inventory", schemas.INVENTORY), run.run_ts, run.on_bad_value)
+    landing.land(
+        run.spark, run.path("silver", "inventory_by_key"), cleaned, "inventory_event_id", ["event_timestamp"])
+
+
+@landing_job
+def land_clicks(run: Run) -> None:
+    """One landed day of clicks into the funnel's day cells; a day may be landed once only."""
+    if run.day is None:
+        raise ValueError("land-clicks needs a day")
+    feed = run.path("bronze", "clickstream")
+    raw = readers.read_json_feed(
+        run.spark, readers.day_path(feed, run.day), schemas.CLICKSTREAM, feed, run.bad_record)
+    run.keep_aside(raw, f"clickstream/{run.day}")
+    refresh.land_clicks(run.spark, run.path("gold", "funnel_cells"), clean.clean_clickstream(raw, run.on_bad_value))
+
+
+@landing_job
+def land_products(run: Run) -> None:
+    """One batch of the change feed into the event log; late batches find their place in the history."""
+    if run.batch_id is None:
+        raise ValueError("land-products needs a batch id")
+    feed = run.path("bronze", f"products/{run.batch_id}")
+    raw = readers.read_csv_feed(run.spark, feed, schemas.PRODUCT_CHANGES, on_bad_record=run.bad_record)
+    run.keep_aside(raw, f"products/{run.batch_id}")
+    events = clean.type_product_changes(raw, run.run_ts, run.on_bad_value)
+    scd2.land_changes(run.spark, run.path("silver", "product_events"), events, run.expire_on_insert)
+
+
 @job
 def silver_orders(run: Run) -> None:
     """One landed day; that day of the table is replaced, also by nothing.
@@ -203,6 +261,24 @@ def gold_daily_sales(run: Run) -> None:
     run.write_gold(mart, "daily_sales")
 
 
+@landing_job
+def refresh_daily_sales(run: Run) -> None:
+    """One sale day of the maintained mart, and the growth of the rows that follow it."""
+    if run.day is None:
+        raise ValueError("refresh-daily-sales needs a day")
+    root = run.path("gold", "daily_sales_by_month")
+    refresh.refresh_sales(
+        run.spark, root, run.day, run.silver("orders"), run.products(), run.as_of, run.run_ts)
+
+
+@landing_job
+def gold_funnel_from_cells(run: Run) -> None:
+    """The funnel of all landed days, or of the run's day alone, from the day cells."""
+    cells = readers.read_table(run.spark, run.path("gold", "funnel_cells/cells"))
+    mart = refresh.funnel_between(cells, run.day, run.day, run.run_ts)
+    run.write_gold(mart, "conversion_funnel_by_cells")
+
+
 @job
 def gold_inventory_health(run: Run) -> None:
     movements = run.silver("inventory")
@@ -276,7 +352,8 @@ def warehouse_reports(run: Run) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="lakemart.jobs", description=__doc__)
-    parser.add_argument("job", choices=sorted(JOBS))
+    jobs = JOBS | BY_LANDING
+    parser.add_argument("job", choices=sorted(jobs))
     parser.add_argument("--root", required=True)
     parser.add_argument("--as-of")
     parser.add_argument("--run-ts")
@@ -309,7 +386,7 @@ def main(argv: list[str] | None = None) -> None:
         args.expire_on_insert,
     )
     try:
-        JOBS[args.job](run)
+        jobs[args.job](run)
     finally:
         if own_scratch:
             remove(spark, scratch)

@@ -109,7 +109,8 @@ def refresh_sales(
     growth that follows, and the run's stamp. No other orders are read, and of the
     mart only narrow columns besides the rewritten months.
     """
-    own = orders.where(F.to_date("order_timestamp") == F.lit(day))
+    begin, end = (F.lit(d).cast("timestamp") for d in (day, day + dt.timedelta(days=1)))
+    own = orders.where((F.col("order_timestamp") >= begin) & (F.col("order_timestamp") < end))
     totals = stored(gold.sales_totals(own, products, as_of))
     mart = read_sales(spark, root)
     narrow = mart.select("sale_date", *_GROUP, "total_revenue")
