@@ -10,7 +10,7 @@ block. Orders are ascending with nulls first, as are the results'.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from lakemart.session import stored
 
 LIMIT, BLOCKS = 1_000_000, 64
-BLOCK, _HOT = "__block", "__hot"
+BLOCK, _HOT, _CARRY = "__block", "__hot", "__carry"
 
 
 def _number(df: DataFrame, column: str) -> Column:
@@ -48,14 +48,18 @@ def in_blocks(
 ) -> tuple[DataFrame, bool]:
     """``df`` with its block number and whether its key is hot, and if any key is."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
-    hot = stored(_renamed(counts.drop("__n"), keys))
+    hot = stored(_renamed(counts, keys))
     if hot.isEmpty():
         return df.withColumns({BLOCK: F.lit(0), _HOT: F.lit(False)}), False
     shares = [i / blocks for i in range(1, blocks)]
     at = _number(df, order[0])
+    # Blocks of a quarter of the limit, as far as there are blocks: of all cuts every few are kept.
+    wanted = F.least(F.ceil(F.lit(4) * F.max("__n") / F.lit(limit)), F.lit(blocks)).cast("bigint").alias("__k")
+    step = lambda i: F.floor((i + F.lit(1)) * F.col("__k") / blocks) > F.floor(i * F.col("__k") / blocks)
     cuts = stored(_renamed(
-        df.join(hot, _same(keys), "left_semi").groupBy(*keys)
-        .agg(F.percentile_approx(at, shares, 10_000).alias("__cuts"), F.lit(True).alias("__is")), keys))
+        df.select(*keys, at.alias("__at")).join(hot, _same(keys)).groupBy(*keys)
+        .agg(F.percentile_approx("__at", shares, 10_000).alias("__cuts"), wanted)
+        .select(*keys, F.filter("__cuts", lambda _, i: step(i)).alias("__cuts"), F.lit(True).alias("__is")), keys))
     # Rows before the first cut, and nulls, are block 0; equal values share a block.
     block = F.coalesce(F.size(F.filter("__cuts", lambda cut: cut < at)), F.lit(0))
     block = F.when(F.col("__cuts").isNull() | at.isNull(), 0).otherwise(block)
@@ -111,28 +115,39 @@ def next_where(
     name: str,
     limit: int = LIMIT,
     blocks: int = BLOCKS,
+    merge: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+    deal: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``name``: ``value`` in a struct, of the first later row of the key that meets ``condition``.
 
-    Null where no later row does; the struct tells that from a null value.
+    Null where no later row does; the struct tells that from a null value. ``merge``
+    makes one row of equal ones, grouping by all columns it is given, too. ``deal`` are
+    columns that follow from the keys and say which rows share a task. Whatever the
+    number of hot keys, whole rows move once: what comes after a block travels as a
+    row of the block. ``df`` is read up to four times.
     """
+    deal = deal or {}
     cut, any_hot = in_blocks(df, keys, order, limit, blocks)
+    group = [*keys, BLOCK] if any_hot else [*keys]
     hit = F.when(condition, F.struct(value.alias("value")))
-    # Backwards, so that the frame only ever grows by a row.
-    later = Window.partitionBy(*keys, BLOCK).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    later = later.rowsBetween(Window.unboundedPreceding, -1)
-    local = cut.withColumn(name, F.last(hit, ignorenulls=True).over(later))
+    rows, given = cut.drop(_HOT), [BLOCK]
+    ahead = [F.col(c).desc_nulls_last() for c in order]
     if any_hot:
-        firsts = cut.where(F.col(_HOT) & condition).groupBy(*keys, BLOCK).agg(
-            F.min_by(F.struct(value.alias("value")), F.struct(*order)).alias("__first"))
         # A block without such a row takes the next block that has one.
-        every = cut.where(_HOT).select(*keys, BLOCK).distinct()
-        known = _renamed(firsts, [*keys, BLOCK])
+        firsts = cut.where(_HOT).groupBy(*group).agg(
+            F.min_by(F.struct(value.alias("value")), F.when(condition, F.struct(*order))).alias("__first"))
         by_block = Window.partitionBy(*keys).orderBy(F.desc(BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
-        carried = stored(_renamed(
-            every.join(known, _same([*keys, BLOCK]), "left")
-            .select(*keys, BLOCK, F.last("__first", ignorenulls=True).over(by_block).alias("__carry")),
-            [*keys, BLOCK]))
-        local = local.join(carried, _same([*keys, BLOCK]), "left").withColumn(
-            name, F.coalesce(name, "__carry"))
-    return local.select(*df.columns, name)
+        carried = firsts.select(*group, F.last("__first", ignorenulls=True).over(by_block).alias(_CARRY))
+        rows = rows.unionByName(carried.where(F.col(_CARRY).isNotNull()), allowMissingColumns=True)
+        hit, given = F.coalesce(F.col(_CARRY), hit), [BLOCK, _CARRY]
+        ahead = [F.col(_CARRY).isNull(), *ahead]
+    rows = rows.withColumns(deal) if deal else rows
+    rows = rows.repartition(*(deal or keys), *group[len(keys):])
+    if merge:
+        rows = merge(rows, [*given, *(c for c in deal if c not in given)])
+    # Backwards, so that the frame only ever grows by a row.
+    later = Window.partitionBy(*deal, *group).orderBy(*ahead).rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.withColumn(name, F.last(hit, ignorenulls=True).over(later))
+    if any_hot:
+        found = found.where(F.col(_CARRY).isNull())
+    return found.select(*df.columns, *(c for c in deal if c not in df.columns), name)

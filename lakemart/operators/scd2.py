@@ -9,17 +9,18 @@ again changes nothing.
 from __future__ import annotations
 
 import re
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart import schemas
 from lakemart.operators.blocks import LIMIT, next_where
-from lakemart.operators.landing import BUCKET, BUCKETS, bucket_of, home_of, slices, touched
-from lakemart.session import remove, stored
-from lakemart.sources.writers import empty_like, write_table
+from lakemart.operators.landing import BUCKET, BUCKETS, bucket_of, home_of, slices
+from lakemart.session import folder_names, move, remove, stored
+from lakemart.sources.writers import by_folder, empty_like, write_table
 
 COLUMNS = schemas.PRODUCT_HISTORY.names
 
@@ -79,6 +80,9 @@ def apply_scd2(history: DataFrame, batch: DataFrame, expire_on_insert: bool = Fa
 
 
 EVENT = [n for n in schemas.PRODUCT_CHANGES.names if n != "source_updated_at"]
+#: Events of a bucket that share a task.
+SLICE_ROWS = 500_000
+_SLICE = "__slice"
 
 
 def replay(changes: DataFrame, expire_on_insert: bool = False, limit: int = LIMIT) -> DataFrame:
@@ -91,14 +95,27 @@ def replay(changes: DataFrame, expire_on_insert: bool = False, limit: int = LIMI
     ends it. An event that landed twice counts once, with its earliest stamp.
 
     One sorted pass over each product's events, in which a version looks ahead for
-    its end; a product with more than ``limit`` events is cut along the time.
+    its end; a product with more than ``limit`` events is cut along the time. The
+    feed is stored first, as products are counted before their events are dealt.
     """
+    return _versions(stored(changes), expire_on_insert, limit).select(COLUMNS)
+
+
+def _versions(
+    changes: DataFrame, expire_on_insert: bool, limit: int = LIMIT, deal: dict[str, Column] | None = None
+) -> DataFrame:
+    """The history of events that are read from files, with the columns by which it is dealt."""
     closing = [UPDATE, DELETE, INSERT] if expire_on_insert else [UPDATE, DELETE]
-    events = changes.groupBy(*schemas.PRODUCT_CHANGES.names).agg(
-        F.min("processed_timestamp").alias("processed_timestamp"))
+
+    def once(events: DataFrame, given: list[str]) -> DataFrame:
+        return events.groupBy(*schemas.PRODUCT_CHANGES.names, *given).agg(
+            F.min("processed_timestamp").alias("processed_timestamp"))
+
     order = ["source_updated_at", *[c for c in EVENT if c != "product_id"]]
+    events = changes.select(*schemas.PRODUCT_CHANGES.names, "processed_timestamp")
     ended = next_where(
-        events, ["product_id"], order, F.col("operation").isin(closing), F.col("source_updated_at"), "__end", limit)
+        events, ["product_id"], order, F.col("operation").isin(closing), F.col("source_updated_at"), "__end", limit,
+        merge=once, deal=deal)
     return (
         ended.where(F.col("operation").isin(INSERT, UPDATE))
         .withColumns({
@@ -106,7 +123,7 @@ def replay(changes: DataFrame, expire_on_insert: bool = False, limit: int = LIMI
             "effective_to": F.col("__end.value"),
             "is_current": F.col("__end").isNull(),
         })
-        .select(COLUMNS)
+        .select(*COLUMNS, *(deal or {}))
     )
 
 
@@ -117,23 +134,62 @@ def land_changes(
 
     Batches may come late, in any order and more than once: the stored history is
     always that of ``replay`` over all events so far. Only the touched buckets of
-    log and history are read and replaced.
+    log and history are read, and only those of the history replaced. A batch
+    joins the log once its history is there, under a name made of its events, so
+    one that died is repeated, and one that landed before is known by them.
     """
-    log, n = home_of(spark, f"{root.rstrip('/')}/events", buckets)
-    history, _ = home_of(spark, f"{root.rstrip('/')}/history", n)
-    fresh = stored(changes.withColumn(BUCKET, bucket_of(["product_id"], n)))
-    hit = touched(fresh)
-    if hit:
-        both = slices(spark, log, fresh.schema, hit).unionByName(fresh)
-        merged = stored(both.groupBy(*schemas.PRODUCT_CHANGES.names, BUCKET).agg(
-            F.min("processed_timestamp").alias("processed_timestamp")))
-        write_table(merged, log, "dynamic", [BUCKET], rebalance=True)
-        versions = replay(merged, expire_on_insert).withColumn(BUCKET, bucket_of(["product_id"], n))
-        write_table(versions, history, "dynamic", [BUCKET], rebalance=True)
-        # A bucket of deletes alone has no version to replace its folder with; nor had it one before.
+    home = root.rstrip("/")
+    log, n = home_of(spark, f"{home}/events", buckets)
+    landings, n = home_of(spark, f"{home}/landings", n)
+    history, _ = home_of(spark, f"{home}/history", n)
+    pending = f"{home}/_pending/{uuid.uuid4().hex}"
+    watch = Observation(f"landing-{uuid.uuid4().hex}")
+    fresh = changes.select(*schemas.PRODUCT_CHANGES.names, "processed_timestamp")
+    dealt = by_folder(fresh.observe(watch, *_fingerprint()).withColumn(BUCKET, bucket_of(["product_id"], n)), [BUCKET])
+    # A product's events side by side: their texts compress well, here and whenever they are dealt out again.
+    write_table(dealt.sortWithinPartitions(BUCKET, "product_id", "source_updated_at"), pending, "overwrite", [BUCKET])
+    hit = sorted(int(f.removeprefix(f"{BUCKET}=")) for f in folder_names(spark, f"{pending}/{BUCKET}=*"))
+    # A write without rows may leave nothing to observe.
+    name, first, last = _name(watch.get) if hit else ("", 0, 0)
+    if not hit or _landed(spark, landings, name, first):
+        remove(spark, pending)
+        return hit
+    schema = T.StructType([*fresh.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    # Logs of earlier versions have one folder for all batches.
+    parts = [log, *(f"{landings}/{f}" for f in folder_names(spark, f"{landings}/landing=*")), pending]
+    events = reduce(DataFrame.unionByName, [slices(spark, p, schema, hit) for p in parts])
+    share = max(-(-events.count() // (len(hit) * SLICE_ROWS)), 1)
+    deal = {BUCKET: bucket_of(["product_id"], n),
+            _SLICE: F.pmod(F.xxhash64(F.lit(1), "product_id"), F.lit(share)).cast("int")}
+    # Dealt by bucket already, so each task writes few folders without another exchange.
+    write_table(_versions(events, expire_on_insert, deal=deal).drop(_SLICE), history, "dynamic", [BUCKET])
+    # A bucket of deletes alone has no version to replace its folder with; nor had it one before.
+    move(spark, pending, f"{landings}/landing={name}_at{last}_{uuid.uuid4().hex[:8]}")
     return hit
 
 
+def _fingerprint() -> list[Column]:
+    """Of a batch: number of events, two sums of their hashes, its first and last stamp."""
+    stamp = F.coalesce(F.unix_micros("processed_timestamp"), F.lit(0))
+    names = schemas.PRODUCT_CHANGES.names
+    # A hash does not tell where a null stands.
+    whole = [*names, *(F.col(c).isNull() for c in names)]
+    total = lambda *columns: F.sum(F.xxhash64(*columns).cast("decimal(20,0)"))
+    return [F.count(F.lit(1)).alias("n"), total(*whole).alias("a"), total(F.lit(1), *whole).alias("b"),
+            F.min(stamp).alias("first"), F.max(stamp).alias("last")]
+
+
+def _name(found: dict) -> tuple[str, int, int]:
+    return f"{found['n']}_{found['a']}_{found['b']}", found["first"] or 0, found["last"] or 0
+
+
+def _landed(spark: SparkSession, landings: str, name: str, first: int) -> bool:
+    """Whether these events landed before, with no later stamps."""
+    return any(
+        int(re.search(r"_at(-?\d+)_", f)[1]) <= first
+        for f in folder_names(spark, f"{landings}/landing={name}_at*"))
+
+
 def read_replayed(spark: SparkSession, root: str) -> DataFrame:
     """The history that ``land_changes`` maintains."""
     home, _ = home_of(spark, f"{root.rstrip('/')}/history")

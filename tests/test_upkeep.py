@@ -122,6 +122,51 @@ def test_late_batches_give_one_history(spark):
     assert scd2.land_changes(spark, root, events(spark, [])) == []
 
 
+def _rewritten(spark, root, batch):
+    """What a landing gives, and the history files it adds."""
+    before = set(_parts(f"{root}/history"))
+    hit = scd2.land_changes(spark, root, batch, buckets=4)
+    return hit, set(_parts(f"{root}/history")) - before
+
+
+def test_a_batch_that_landed_before_rewrites_nothing(spark):
+    rows, root = random_events(7), folder()
+    batches = [events(spark, rows[i::2]) for i in range(2)]
+    hit, added = _rewritten(spark, root, batches[0])
+    assert hit and added
+    assert _rewritten(spark, root, batches[0]) == (hit, set())
+    assert _rewritten(spark, root, batches[0].withColumn("processed_timestamp", F.lit(ts("2024-07-01")))) == (hit, set())
+    # Earlier stamps count, and so does a batch with one more row.
+    earlier = batches[0].withColumn("processed_timestamp", F.lit(ts("2024-05-01")))
+    assert _rewritten(spark, root, earlier)[1] and _rewritten(spark, root, batches[0].union(batches[1].limit(1)))[1]
+    scd2.land_changes(spark, root, batches[1])
+    want = scd2.replay(earlier.unionByName(batches[1]))
+    assert sorted(map(str, scd2.read_replayed(spark, root).collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_landing_moves_whole_events_once_for_the_log_and_once_for_the_history(spark, monkeypatch):
+    plans, plain = [], scd2.write_table
+
+    def watched(df, *args, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        plain(df, *args, **options)
+
+    monkeypatch.setattr(scd2, "write_table", watched)
+    root = folder()
+    for batch in (random_events(7, 40), random_events(8, 40)):
+        scd2.land_changes(spark, root, events(spark, batch), buckets=4)
+    moves = [sum("Repartition" in line or "RebalancePartitions" in line for line in p.splitlines()) for p in plans]
+    assert moves == [1, 1, 1, 1] and not any("Join" in p for p in plans)
+
+
+def test_hot_products_are_cut_without_a_join_of_whole_events(spark):
+    rows = events(spark, random_events(9, 300))
+    plan = plan_of(scd2.replay(rows, limit=20)).split("== Initial Plan ==")[0]
+    wide = [line for line in plan.splitlines() if "hashpartitioning" in line and "__carry" not in line]
+    assert sum("REPARTITION_BY_COL" in line for line in wide) == 1
+    assert "SortMergeJoin" not in plan
+
+
 def test_events_without_a_time_come_first(spark):
     rows = [("p", "I", None, "1"), ("p", "U", "2024-01-02 00:00:00", "2"), ("p", "D", None, "3")]
     got = {r.price: (r.effective_from, r.effective_to, r.is_current) for r in scd2.replay(events(spark, rows)).collect()}
