@@ -82,6 +82,7 @@ def with_window(
     ``order`` should tell the rows of a key apart, or ties fall as they may.
     """
     previous = previous or {}
+    df = stored(df)  # read for counts, cuts, ends and rows
     cut, any_hot = in_blocks(df, keys, order, limit, blocks)
     row = number or "__row"
     w = Window.partitionBy(*keys, BLOCK).orderBy(*order)

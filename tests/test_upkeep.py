@@ -206,6 +206,26 @@ def test_a_hot_key_is_windowed_by_several_tasks(spark, hot):  # noqa: F811
     assert "hashpartitioning(product_id" in plan and f"{blocks.BLOCK}#" in plan.split("hashpartitioning(product_id")[-1][:80]
 
 
+def test_blocks_are_as_many_as_a_hot_key_needs(spark):
+    df = spark.range(4000).select(F.when(F.col("id") < 110, "a").otherwise("b").alias("key"), F.col("id").alias("at"))
+    cut, _ = blocks.in_blocks(df, ["key"], ["at"], limit=100, blocks=64)
+    found = {r[0]: r[1] for r in cut.groupBy("key").agg(F.count_distinct(blocks.BLOCK)).collect()}
+    assert found == {"a": 5, "b": 64}
+
+
+def test_rows_of_a_hot_window_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(500).selectExpr("string(id % 2) AS key", "id AS at").mapInArrow(seen, "key string, at long")
+    assert blocks.with_window(df, ["key"], ["at"], {"before": "at"}, "number", limit=50).count() == 500
+    assert made.value == 500
+
+
 def test_text_cannot_be_cut(spark):
     with pytest.raises(TypeError, match="blocks need"):
         blocks.in_blocks(spark.createDataFrame([("a", "b")] * 3, "k string, o string"), ["k"], ["o"], limit=1)
