@@ -20,7 +20,7 @@ from lakemart.functions.guards import (
     sum_when,
 )
 from lakemart.operators.derive import enrich_orders
-from lakemart.session import settle
+from lakemart.session import settle, spread
 
 NEW_PRODUCT_DAYS = 90
 
@@ -65,7 +65,8 @@ def _sales_by_group(orders: DataFrame, products: DataFrame, as_of: AsOf) -> Data
     # One row per product and group even if a product has several versions, so
     # distinct products can be counted by adding up.
     per_member = (
-        enrich_orders(per_product, products)
+        # By product first: dealt as they are, the rows would stay in the tasks that just summed them.
+        spread(enrich_orders(per_product, products), "product_id", "sale_date")
         .groupBy("sale_date", "category", "brand", "product_id")
         .agg(
             F.sum("orders").alias("orders"),
@@ -106,7 +107,7 @@ def _buyers_by_group(orders: DataFrame, products: DataFrame) -> DataFrame:
         ("category", "brand"),
     )
     return (
-        seen.select("sale_date", "category", "brand", "customer_id")
+        spread(seen.select("sale_date", "category", "brand", "customer_id"), "sale_date", "customer_id")
         .distinct()
         .select("sale_date", "category", "brand", F.lit(1).alias("customers"))
     )
@@ -341,7 +342,7 @@ def _customer_profiles(orders: DataFrame, products: DataFrame) -> DataFrame:
         orders.where(F.col("customer_id").isNotNull()), products, ("category", "brand")
     )
     cells = (
-        bought.groupBy("customer_id", "category", "brand")
+        spread(bought, "customer_id", "product_id").groupBy("customer_id", "category", "brand")
         .agg(
             F.count(F.lit(1)).alias("orders"),
             F.sum("quantity").alias("units"),

@@ -130,6 +130,17 @@ def test_daily_sales_under_skew_equals_row_grain(spark, hot):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_members_and_cells_are_found_by_all_tasks(spark, hot):
+    """Hash tables with a group for almost every row are dealt out and not merged by compressed bytes."""
+    orders, products = hot
+    for mart, tables in (
+        (gold.gold_daily_sales(orders, products, "2024-01-01", "2024-01-01"), 2),
+        (gold._customer_profiles(orders, products), 1),
+    ):
+        dealt = re.findall(r"hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", stages(plan_of(mart)))
+        assert [int(n) for n in dealt] == [int(spark.conf.get("spark.sql.shuffle.partitions"))] * tables
+
+
 def test_reports_sum_before_they_join(spark, hot):
     orders, products = hot
     fact = orders.withColumn("processed_timestamp", F.current_timestamp())
