@@ -38,9 +38,17 @@ STOPS = ".,;:!?)\"'»”…"
 ENCODED = "doc_id long, ids array<int>, score double"
 #: Words of the younger half of the cache; the older half is as large.
 _CACHE_WORDS = 150_000
+#: Texts or chunks that a task turns into Python objects at a time.
+_ROWS = 256
 _NONE = float("-inf")
 
 
+def _in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
 class Lattice(dict):
     """Pieces of a model file; as a dict, the best ids and score of whole words.
 
@@ -68,9 +76,6 @@ class Lattice(dict):
         self.older: dict[str, tuple[bytes, float]] = {}
         self.longest = max(map(len, self.piece))
         self.unknown = min(s for s, _ in self.piece.values()) - 10.0
-        spell = {i: bytes([b]) for b, i in self.byte_ids.items()}
-        spell |= {i: p.replace(MARK, " ").encode() for p, (_, i) in self.piece.items()}
-        self.spelled = [spell.get(i, b"") for i in ids]
         #: No piece runs over the start of a word.
         self.parted = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.piece)
         #: Nor over a line break, if none is in a piece.
@@ -210,6 +215,27 @@ def lattice(model_file: str) -> Lattice:
     return _LATTICES[model_file]
 
 
+_SPELLED: dict[str, list[bytes]] = {}
+
+
+def spelled(model_file: str) -> list[bytes]:
+    """Bytes of every id. Tasks that only decode hold these alone, not the pieces by their characters."""
+    if model_file not in _SPELLED:
+        from sentencepiece import SentencePieceProcessor
+
+        model = SentencePieceProcessor(model_file=model_file)
+
+        def spell(i: int) -> bytes:
+            if model.is_byte(i):
+                return bytes([int(model.id_to_piece(i)[3:5], 16)])
+            if model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+                return b""
+            return model.id_to_piece(i).replace(MARK, " ").encode()
+
+        _SPELLED[model_file] = [spell(i) for i in range(model.get_piece_size())]
+    return _SPELLED[model_file]
+
+
 def normalized(text: str | None) -> str:
     """A space before the text, and every space as the mark; an empty text stays empty."""
     return MARK + text.replace(" ", MARK) if text else ""
@@ -233,7 +259,7 @@ class Scan:
 
     def short(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lattice(self.model_file)
-        for batch in batches:
+        for batch in _in_turn(batches):
             found = [own.whole(normalized(t)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), _id_lists([f[0] for f in found]), pa.array([float(f[1]) for f in found], pa.float64())],
@@ -255,7 +281,7 @@ class Scan:
 
     def matrices(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lattice(self.model_file)
-        for batch in batches:
+        for batch in _in_turn(batches):
             length, text = (c.to_pylist() for c in batch.columns[3:])
             found = [own.scanned(t, n) for t, n in zip(text, length)]
             parts = [(t, "") if first < 0 else (t[:first], t[tail:]) for t, (_, first, tail, _) in zip(text, found)]
@@ -318,7 +344,7 @@ class Scan:
 
     def traced(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lattice(self.model_file)
-        for batch in batches:
+        for batch in _in_turn(batches):
             found = [own.between(*row) for row in zip(*(c.to_pylist() for c in batch.columns[4:]))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], _id_lists(found)], ["key", "doc_id", "chunk", "score", "ids"])
@@ -364,11 +390,11 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     """Texts of ``encoded`` (doc_id, ids): doc_id, text; null ids as none, unknown ids as nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = lattice(model_file).spelled
+        by_id = spelled(model_file)
         for batch in batches:
             texts = []
             for ids in batch.column(1).to_pylist():
-                raw = b"".join([spelled[i] for i in ids or () if i is not None and 0 <= i < len(spelled)])
+                raw = b"".join([by_id[i] for i in ids or () if i is not None and 0 <= i < len(by_id)])
                 texts.append((raw[1:] if raw.startswith(b" ") else raw).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
@@ -378,12 +404,12 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
 def digests(encoded: DataFrame, model_file: str) -> DataFrame:
     """Per row of ``encoded``: n_tokens, ids_crc32, score, and n_chars and text_crc32 of the decoded text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = lattice(model_file).spelled
+        by_id = spelled(model_file)
         for batch in batches:
             rows = []
             for ids in batch.column(1):
                 ids = ids.values.to_numpy() if ids.is_valid else np.zeros(0, np.int32)
-                raw = b"".join([spelled[i] for i in ids.tolist()])
+                raw = b"".join([by_id[i] for i in ids.tolist()])
                 text = raw[1:] if raw.startswith(b" ") else raw
                 rows.append((len(ids), zlib.crc32(ids.astype("<u4")), len(text.decode("utf-8", "replace")), zlib.crc32(text)))
             columns = list(zip(*rows)) or [()] * 4

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -87,3 +88,21 @@ def test_empty_null_and_repeated(spark):
     docs = spark.createDataFrame([(None, "x y"), (4, "same"), (4, "same")], "doc_id long, text string")
     assert sorted(str(r.doc_id) for r in pieces.encode(docs, PIECES).collect()) == ["4", "4", "None"]
     assert pieces.encode(docs.limit(0), PIECES).count() == 0
+
+
+def test_texts_are_encoded_some_at_a_time():
+    texts = [f"word{i} a line, and more" for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(texts)], ["doc_id", "text"])
+    got = list(pieces.Scan(PIECES).short(iter([batch])))
+    assert max(map(len, got)) <= 256
+    assert [i for b in got for i in b.column(0).to_pylist()] == list(range(1000))
+    own = pieces.lattice(PIECES)
+    assert [ids for b in got for ids in b.column(1).to_pylist()] == [
+        np.frombuffer(own.whole(pieces.normalized(t))[0], "<i4").tolist() for t in texts]
+
+
+def test_decoding_needs_no_lattice():
+    own, by_id = pieces.lattice(PIECES), pieces.spelled(PIECES)
+    assert all(by_id[i] == p.replace(pieces.MARK, " ").encode() for p, (_, i) in own.piece.items())
+    assert all(by_id[i] == bytes([b]) for b, i in own.byte_ids.items())
+    assert sum(map(bool, by_id)) == len(own.piece) + len(own.byte_ids)
