@@ -303,9 +303,9 @@ def payment_amounts(spark, sf_dir):
 
 
 def _publish(df: DataFrame, path: str, landed: str, fmt: str = "csv") -> None:
-    """Land a frame as a feed, by month of ``landed`` to keep the folder count modest."""
+    """Land a frame as a packed feed, by month of ``landed`` to keep the folder count modest."""
     month = F.to_date(F.date_trunc("month", F.col(landed)))
-    writers.publish_feed(writers.land_on(df, month), path, fmt)
+    writers.publish_feed(writers.land_on(df, month), path, fmt, compression="gzip")
 
 
 @query

@@ -33,8 +33,12 @@ def _line_id():
     return F.concat_ws("-", "l_orderkey", "l_linenumber")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, line number): the table repeats that pair."""
+def order_lines(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
+    """One row per (order, line number): the table repeats that pair.
+
+    ``by_order`` deals the lines by their order alone, so that a join with the orders
+    does not move them again.
+    """
     order = [
         F.col("l_shipdate").desc(),
         F.col("l_partkey"),
@@ -43,12 +47,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity"),
     ]
     lines = table(spark, sf_dir, "lineitem")
+    if by_order:
+        lines = lines.repartition("l_orderkey")
     return pick_one(lines, ["l_orderkey", "l_linenumber"], order)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Order lines as orders; unit price comes from the part."""
-    lines = order_lines(spark, sf_dir) if lines is None else lines
+    lines = order_lines(spark, sf_dir, by_order=True) if lines is None else lines
     heads = table(spark, sf_dir, "orders")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     return (

@@ -182,6 +182,34 @@ def test_text_survives_a_csv_feed(spark, tmp_path):
         writers.publish_feed(df, str(tmp_path / "plain"))
 
 
+def test_a_packed_feed_reads_as_a_plain_one(spark, root):
+    rows = [(f"o{i}", i, f"2024-05-{1 + i % 3:02d} 01:02:03") for i in range(300)]
+    sent = order_rows(spark, *rows)
+    landed = writers.land_on(sent, F.to_date("order_timestamp"))
+    found, sizes = {}, {}
+    for fmt in ("csv", "json"):
+        for packing in ("none", "gzip"):
+            path = f"{root}/{fmt}-{packing}"
+            writers.publish_feed(landed, path, fmt, compression=packing)
+            files = [p for p in pathlib.Path(path).rglob("part-*") if p.is_file()]
+            assert all((p.suffix == ".gz") == (packing == "gzip") for p in files) and len(files) >= 3
+            sizes[fmt, packing] = sum(p.stat().st_size for p in files)
+            if fmt == "csv":
+                reads = [
+                    readers.read_csv_feed(spark, path, schemas.ORDERS),
+                    readers.read_csv_feed(spark, path, schemas.ORDERS, on_bad_record="aside"),
+                    readers.read_csv_feed(spark, path, schemas.ORDERS, days_from_path=True),
+                    readers.read_csv_generations(spark, path, schemas.ORDERS),
+                    readers.read_csv_day(spark, path, dt.date(2024, 5, 2), schemas.ORDERS),
+                ]
+            else:
+                reads = [readers.read_json_feed(spark, path, schemas.ORDERS)]
+            found[fmt, packing] = [sorted(map(str, clean.clean_orders(r, "2024-06-01").collect())) for r in reads]
+        assert found[fmt, "gzip"] == found[fmt, "none"]
+        assert [len(f) for f in found[fmt, "gzip"]] == [300, 300, 300, 300, 100][: len(reads)]
+        assert sizes[fmt, "gzip"] < sizes[fmt, "none"] / 3
+
+
 def test_malformed_records_stop_or_stand_aside(spark, tmp_path):
     (tmp_path / "csv").mkdir()
     (tmp_path / "csv/a.csv").write_text("a,b,c\n1,2,3\n4,5\n6,7,8,9\n")

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart import schemas
+from lakemart.checks import testdata as td
 from lakemart.checks.queries import REGISTRY as QUERIES
+from lakemart.checks.queries import _publish as publish
 from lakemart.operators import clean, derive
 from lakemart.plans import basic, gold, star
 from lakemart.session import shuffle_partitions_for
@@ -200,6 +202,43 @@ def test_a_hot_day_is_written_by_several_tasks(spark, hot):
     assert readers.read_table(spark, root).count() == orders.count()
 
 
+def test_a_hot_day_of_a_packed_feed_is_several_files(spark, hot):
+    orders, _ = hot
+    root = tempfile.mkdtemp(prefix="run-")
+    landed = writers.land_on(orders.drop("processed_timestamp"), F.lit("2024-01-01").cast("date"))
+    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64k"):
+        writers.publish_feed(landed, root, compression="gzip")
+    assert len(list(pathlib.Path(root).rglob("*.csv.gz"))) > 1, "a packed file is not split by its readers"
+    assert readers.read_csv_feed(spark, root, schemas.ORDERS).count() == orders.count()
+
+
+def test_the_queries_land_packed_feeds_and_tables(spark):
+    """Text of the movements is some five times what it takes packed."""
+    root = tempfile.mkdtemp(prefix="run-")
+    movements = td.raw_movements(spark, SF)
+    publish(movements, root + "/feed", "event_timestamp")
+    writers.publish_feed(writers.land_on(movements, F.lit("2024-01-01").cast("date")), root + "/text")
+    size = {
+        name: sum(p.stat().st_size for p in pathlib.Path(root, name).rglob("part-*"))
+        for name in ("feed", "text")
+    }
+    assert size["feed"] < size["text"] / 2, size
+    writers.write_table(movements, root + "/table", "overwrite")
+    assert all(".zstd." in p.name for p in pathlib.Path(root, "table").glob("part-*"))
+
+
+def test_lines_move_once_to_their_orders(spark):
+    with small_partitions(spark):
+        found = td.raw_orders(spark, SF)
+        plan = plan_of(found).split("+- == Initial Plan ==")[0]
+    assert "hashpartitioning(l_orderkey" in plan
+    assert not re.search(r"hashpartitioning\(l_orderkey#\d+L?, l_linenumber", plan), plan
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", plan)) == 1, plan
+    want = td.raw_orders(spark, SF, td.order_lines(spark, SF))
+    assert found.count() == want.count()
+    assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+
+
 def test_no_query_multiplies_rows_or_runs_python(spark):
     """No cartesian product, no nested loop join and no Python worker in any plan."""
     for name, run in QUERIES.items():
