@@ -68,17 +68,19 @@ def land(
     """
     home, n = home_of(spark, root, buckets)
 
-    def kept(df: DataFrame) -> DataFrame:
+    def kept(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         days = [c for c in DAY_COLUMNS if c in df.columns]
         plain = df.drop(BUCKET, STAMP)
         order = total_order(plain, [*newest, *days], [key])
-        return pick_one(df, [key], [*order, *([F.col(STAMP).asc()] if STAMP in df.columns else [])])
+        return pick_one(df, keys, [*order, *([F.col(STAMP).asc()] if STAMP in df.columns else [])])
 
-    fresh = stored(kept(cleaned.withColumn(BUCKET, bucket_of([key], n))))
+    fresh = stored(kept(cleaned.withColumn(BUCKET, bucket_of([key], n)), [key]))
     hit = touched(fresh)
     if hit:
         old = slices(spark, home, fresh.schema, hit)
-        write_table(kept(old.unionByName(fresh)), home, "dynamic", [BUCKET], rebalance=True)
+        # A key has at most two rows by now, so one exchange serves the choice and the folders.
+        both = old.unionByName(fresh).repartitionByRange(BUCKET, key)
+        write_table(kept(both, [BUCKET, key]), home, "dynamic", [BUCKET])
     return hit
 
 

@@ -66,6 +66,43 @@ def test_a_landing_reads_and_rewrites_its_own_buckets(spark):
     assert landing.land(spark, root, rows.limit(0), "key") == []
 
 
+def test_a_landing_moves_its_rows_once_to_the_choice_and_the_folders(spark, monkeypatch):
+    written = []
+
+    def write(df, *args, rebalance=False, **more):
+        out = writers.by_folder(df, [landing.BUCKET]) if rebalance else df
+        written.append(out._jdf.queryExecution().executedPlan().toString())
+        writers.write_table(df, *args, rebalance=rebalance, **more)
+
+    monkeypatch.setattr(landing, "write_table", write)
+    root = folder() + "/t"
+    for value in (1, 2):
+        rows = spark.range(500).select(F.col("id").cast("string").alias("key"), F.lit(value).alias("value"))
+        landing.land(spark, root, rows, "key", ["value"], buckets=4)
+    assert [plan.count("Exchange ") for plan in written] == [1, 1], written[-1]
+    assert [r.value for r in landing.read_landed(spark, root).select("value").distinct().collect()] == [2]
+
+
+def test_buckets_cut_over_tasks_hold_each_key_once(spark):
+    """Many tasks share a bucket, and few files are made of it."""
+    rng = random.Random(1)
+    parts = [
+        texts(spark, ["key", "value", "at"], [
+            (rng.choice([None, *(f"k{i}" for i in range(900))]), str(rng.randint(1, 3)), f"2024-01-0{day}")
+            for _ in range(1500)])
+        for day in (1, 2, 3)]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    full, late = folder() + "/t", folder() + "/t"
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        landing.land(spark, full, every, "key", ["at"], buckets=2)
+        for part in (parts[2], parts[0], parts[1], parts[0]):
+            landing.land(spark, late, part, "key", ["at"], buckets=2)
+    got, want = (sorted(map(str, landing.read_landed(spark, r).collect())) for r in (late, full))
+    assert got == want and len({g.split(", value")[0] for g in got}) == len(got) > 800
+    files = len(_parts(landing.home_of(spark, late)[0]))
+    assert 2 < files <= 2 + 8, "as many files as tasks, and one more where a task ends a bucket"
+
+
 def _parts(home):
     import pathlib
 
