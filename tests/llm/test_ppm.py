@@ -106,3 +106,88 @@ def test_edges_beyond_the_deepest_level_count_once(monkeypatch):
         trie = ppm.Subtrie(words, np.array([3, 1, 0, 9]))
         edges = Counter(s for _, symbols in trie.tails() for s in symbols.tolist())
         assert edges == Counter(b"s" * 6 + b"one " + b"to ")
+
+
+def test_words_before_a_word_count(spark):
+    """Two held-out texts of the same words: the one in the learned order is predicted better."""
+    rows = [(i, "anna said nothing then bob said plenty") for i in range(20)]
+    rows += [(100, "anna said nothing then bob said plenty"), (101, "bob plenty then said nothing said anna")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in ppm.score(docs, F.col("doc_id") >= 100).collect()}
+    assert got[100].n_tokens == got[101].n_tokens and got[100].base_score == pytest.approx(got[101].base_score)
+    assert got[100].score > got[101].score + 5
+
+
+def plain_scores(learn, ask):
+    """Byte contexts of 6 to none in dictionaries, for words that are shorter than the longest context."""
+    def stream(text):
+        return b" " * ppm.LONG + b"".join(w + b" " for w in ppm.words_of(text)) + b"\n"
+
+    def key(order, context):
+        own = context[len(context) - min(order, 3) :] if order < 4 else context[len(context) - order :]
+        return tuple(int(ppm._CLASSES[b]) for b in own) if order == 3 else own
+
+    levels = {ppm.LONG: {}}
+    for text in learn:
+        s = stream(text)
+        for i in range(ppm.LONG, len(s)):
+            counts = levels[ppm.LONG].setdefault(s[i - ppm.LONG : i], Counter())
+            counts[s[i]] += 1
+    edges = {}
+    for order in range(ppm.LONG - 1, -1, -1):
+        # Contexts of two and of three count each different edge of four, those of one and none the edges of the next.
+        longer = edges[4] if order in (3, 2) else {(c, b) for c, n in levels[order + 1].items() for b in n}
+        levels[order] = {}
+        for context, b in longer:
+            levels[order].setdefault(key(order, context), Counter())[b] += 1
+        edges[order] = {(c, b) for c, n in levels[order].items() for b in n}
+        if order == 4:
+            edges[4] = {(c, b) for c, n in levels[4].items() for b in n}
+    escape = ppm.EscapeCounts(ppm.LONG + 1)
+    for order, held in levels.items():
+        for n in held.values():
+            values = np.array([*n.values()])
+            escape.add(order, np.array([values.sum()]), np.array([len(values)]), np.array([(values == 1).sum()]))
+    for text in ask:
+        s, total = stream(text), 0.0
+        for i in range(ppm.LONG, len(s)):
+            gone = set()
+            for order in range(ppm.LONG, -1, -1):
+                n = {b: m for b, m in levels[order].get(key(order, s[i - ppm.LONG : i]), {}).items() if b not in gone}
+                if not n:
+                    continue
+                e = escape.rate(order, np.array([sum(n.values())]), np.array([len(n)]))[0]
+                if s[i] in n:
+                    total += math.log10((1 - e) * (n[s[i]] - 0.5) / (sum(n.values()) - len(n) / 2))
+                    break
+                total += math.log10(e)
+                gone |= set(n)
+            else:
+                total -= math.log10(256 - len(gone))
+        yield total
+
+
+def test_score_against_plain_contexts(spark):
+    rng = np.random.default_rng(7)
+    names = ["a", "of", "the", "then", "there", "ñu", "été", "xyz", "I"]
+    texts = [" ".join(rng.choice(names, rng.integers(0, 30))) for _ in range(60)] + ["zq the b", "é", None, "the q\x01 of"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in ppm.score(docs, F.col("doc_id") >= 50, chunk_chars=500).collect()}
+    for i, score in enumerate(plain_scores(texts[:50], texts)):
+        assert got[i] == pytest.approx(score, rel=1e-5)
+
+
+def test_grams_of_a_sequence_cut_in_blocks(monkeypatch):
+    docs = [[b"ab", b"q" * 40, b"c"], [], [b"word"] * 9]
+    whole = [np.concatenate(c) for c in zip(*ppm.grams(docs))]
+    # Bytes 6 to 23 of the long word are the trie's.
+    assert len(whole[0]) == (3 + 41 - 18 + 2 + 1) + 1 + 46
+    assert bytes(int(g) & 255 for g in whole[0][whole[1] == 2]) == b"word " * 9 + b"\n"
+    for size in (1, 5, 7, 30):
+        monkeypatch.setattr(ppm, "TAIL_BYTES", size)
+        cut = [np.concatenate(c) for c in zip(*ppm.grams(docs))]
+        assert all(len(a) == len(b) and (a == b).all() for a, b in zip(whole, cut))
+    gram, n = np.unique(whole[0], return_counts=True)
+    order, bucket = ppm._dealt(gram, 2)
+    gram, n = gram[order][bucket == bucket[0]], n[order][bucket == bucket[0]]
+    assert all((a == b).all() for a, b in zip(ppm.unpacked(ppm.packed(gram, n)), (gram, n)))
